@@ -1,0 +1,13 @@
+"""Queries over the given tables, one per operator, each beside its SQL."""
+
+
+def registry():
+    from checks import changes, checkpoints, transforms
+
+    found = {}
+    for module in (transforms, changes, checkpoints):
+        for name, check in module.checks().items():
+            if name in found:
+                raise ValueError(f"query {name!r} is registered twice")
+            found[name] = check
+    return found

@@ -10,6 +10,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.filelog import to_log_rows
+
 RUN_TS = datetime(2024, 5, 1, 10, 20, 30)
 RUN_HOUR_SQL = "TIMESTAMP '2024-05-01 10:00:00'"
 RUN_TS_SQL = "TIMESTAMP '2024-05-01 10:20:30'"
@@ -145,9 +147,7 @@ file_log AS (
 
 def file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of the inventory; every third file counts as processed."""
-    from tidemark.operators.filelog import to_log_rows
-
-    rows = to_log_rows(inventory(spark, sf_dir).where("true"), "x", "lake", RUN_TS)
+    rows = to_log_rows(inventory(spark, sf_dir), "x", "lake", RUN_TS)
     part = F.regexp_extract("FILE_WITH_PATH", r"part-(\d+)\.parquet$", 1).cast("bigint")
     return rows.withColumn("PROCESSED_FLAG", part % 3 == 0).withColumn(
         "TABLE_NAME", F.substring_index("FILE_WITH_PATH", "/", 1)
@@ -174,3 +174,51 @@ before AS (
   SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
   FROM customer WHERE c_custkey % 13 = 0
 )"""
+
+
+COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": [
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "o_orderpriority",
+    ],
+    "lineitem": [
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "pages": ["page_id", "url", "html"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+TIMESTAMPS = {"o_orderdate", "l_shipdate", "ts", "INGEST_EFF_DTIMEUTC"}
+
+
+def json_sql(columns: list[str]) -> str:
+    """The row text in SQL: every column in order, timestamps with microseconds."""
+    parts = [
+        f"'{c}': strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if c in TIMESTAMPS else f"'{c}': {c}"
+        for c in columns
+    ]
+    return "to_json({" + ", ".join(parts) + "})::VARCHAR"
+
+
+def hash_sql(columns: list[str]) -> str:
+    return f"md5({json_sql(columns)})"
