@@ -2,10 +2,10 @@
 
 
 def registry():
-    from checks import changes, checkpoints, transforms
+    from checks import changes, checkpoints, files, flows, tables, transforms
 
     found = {}
-    for module in (transforms, changes, checkpoints):
+    for module in (transforms, changes, checkpoints, files, tables, flows):
         for name, check in module.checks().items():
             if name in found:
                 raise ValueError(f"query {name!r} is registered twice")
