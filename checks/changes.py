@@ -71,7 +71,9 @@ def incremental_diff_copies(spark, sf_dir):
     """Few distinct rows, each copied very often: all copies of a new row survive."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
     previous = flags.where("l_returnflag <> 'R'")
-    return new_rows(with_row_hash(flags), with_row_hash(previous), broadcast_rows=0).drop("hash")
+    return new_rows(
+        with_row_hash(flags), with_row_hash(previous), broadcast_rows=0, hot_copies=1000
+    ).drop("hash")
 
 
 def incremental_diff_micros(spark, sf_dir):

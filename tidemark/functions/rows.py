@@ -27,8 +27,12 @@ def row_json(columns: Iterable[str], options: dict[str, str] | None = None) -> C
 
 
 def row_hash(columns: Iterable[str]) -> Column:
-    """md5 (32 lowercase hex) of the canonical row text."""
-    return F.md5(row_json(columns))
+    """md5 (32 lowercase hex) of the canonical row text.
+
+    The text of a row is never null. Saying so with ``coalesce`` keeps joins on the
+    hash from adding a not-null filter, which would compute every hash twice.
+    """
+    return F.coalesce(F.md5(row_json(columns)), F.lit(""))
 
 
 def ntz(ts: datetime | str) -> Column:

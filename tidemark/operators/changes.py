@@ -12,35 +12,50 @@ from tidemark.model import HASH, MARKET_REGIONS
 from tidemark.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 
-def new_hashes(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """Each hash of ``current`` that ``previous`` lacks, once.
+# A row copied more often than this is taken out of the shuffle of its copies.
+HOT_COPIES = 1_000_000
+
+
+def compared_hashes(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Each hash of ``current`` once: its ``copies`` there, and whether it is ``known``.
 
     Only hashes are shuffled, and they are merged before the shuffle, so a row
-    that is copied very often costs one entry per task. Both copies meet in one
+    that is copied very often costs one entry per task. Both sides meet in one
     aggregation, so there is no join to be skewed.
     """
-    sides = current.select(HASH, F.lit(False).alias("known")).unionAll(
-        previous.select(HASH, F.lit(True).alias("known"))
+    sides = current.select(HASH, F.lit(1).alias("copies"), F.lit(False).alias("known")).unionAll(
+        previous.select(HASH, F.lit(0).alias("copies"), F.lit(True).alias("known"))
+    )
+    return (
+        sides.groupBy(HASH)
+        .agg(F.sum("copies").alias("copies"), F.bool_or("known").alias("known"))
+        .where(F.col("copies") > 0)
     )
-    merged = sides.groupBy(HASH).agg(F.bool_or("known").alias("known"))
-    return merged.where(~F.col("known")).select(HASH)
+
+
+def new_hashes(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Each hash of ``current`` that ``previous`` lacks, once."""
+    return compared_hashes(current, previous).where(~F.col("known")).select(HASH)
 
 
 def new_rows(
-    current: DataFrame, previous: DataFrame | None, broadcast_rows: int = BROADCAST_ROWS
+    current: DataFrame,
+    previous: DataFrame | None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_copies: int = HOT_COPIES,
 ) -> DataFrame:
     """Rows of ``current`` whose hash is not in ``previous``, copies included.
 
-    * no previous copy: everything is new;
-    * a previous copy of at most ``broadcast_rows`` rows: its hashes are sent to
-      every task and ``current`` is read once, unshuffled;
-    * else the new hashes are worked out on the narrow hash column alone and
-      stored, and the wide rows are filtered by them: by broadcast when few rows
-      are new (the usual run), by a shuffle join otherwise. The stored side holds
-      each hash once, so run-time skew splitting can cut up a row copied often.
+    * No previous copy: everything is new.
+    * A previous copy of at most ``broadcast_rows`` rows: its hashes are sent to
+      every task and ``current`` is read once, unshuffled.
+    * Else the new hashes are worked out on the narrow hash column alone and
+      stored, and the wide rows are filtered by them: unshuffled when few hashes
+      are new, as in most runs, by a shuffle join otherwise. Rows with more than
+      ``hot_copies`` copies stay out of that shuffle.
 
-    ``current`` is read twice in the last case; pass the written snapshot rather
-    than a live source.
+    The last case reads ``current`` more than once: pass the written snapshot
+    rather than a live source.
     """
     columns = [HASH] + [c for c in current.columns if c != HASH]
     if previous is None:
@@ -49,11 +64,36 @@ def new_rows(
     if known.count() <= broadcast_rows:
         found = current.join(F.broadcast(known.distinct()), HASH, "left_anti")
     else:
-        fresh = stage(new_hashes(current, known), "new-hashes")
-        found = current.join(broadcast_if_small(fresh, broadcast_rows), HASH, "left_semi")
+        found = _rows_of_new_hashes(current, known, broadcast_rows, hot_copies)
     return found.select(*map(ref, columns))
 
 
+def _rows_of_new_hashes(
+    current: DataFrame, known: DataFrame, broadcast_rows: int, hot_copies: int
+) -> DataFrame:
+    # With n rows, at most n / t hashes have more than t copies. Raising t with n
+    # therefore bounds the number of hot hashes, whatever the data.
+    threshold = max(hot_copies, current.count() // BROADCAST_ROWS)
+    hot = F.col("copies") > threshold
+    compared = stage(
+        compared_hashes(current, known).where(~F.col("known") | hot), "compared-hashes"
+    )
+    totals = compared.agg(
+        F.count_if(~F.col("known")).alias("fresh"), F.count_if(hot).alias("hot")
+    ).first()
+    fresh = compared.where(~F.col("known"))
+    if totals.fresh <= broadcast_rows:
+        return current.join(F.broadcast(fresh.select(HASH)), HASH, "left_semi")
+    if totals.hot == 0:
+        return current.join(fresh.select(HASH), HASH, "left_semi")
+    hot_hashes = compared.where(hot).select(HASH)
+    often = current.join(F.broadcast(fresh.where(hot).select(HASH)), HASH, "left_semi")
+    seldom = current.join(F.broadcast(hot_hashes), HASH, "left_anti").join(
+        fresh.where(~hot).select(HASH), HASH, "left_semi"
+    )
+    return often.unionByName(seldom)
+
+
 def region_filter(
     df: DataFrame,
     column: str,

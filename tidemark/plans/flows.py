@@ -150,6 +150,9 @@ def full_extract_incr(
     comparable = base is not None and base.hash_version == HASH_VERSION
     previous = table.read(base.snapshot_id) if comparable else None
     fresh = new_rows(current, previous, broadcast_rows)
+    if previous is not None:
+        # Few rows out of a long scan: gather them, or each scan task leaves a crumb.
+        fresh = fresh.hint("rebalance")
     folder = write_load(fresh, run, spec.target_table, INCR_LOAD)
 
     table.publish(snapshot_id, schema, REPLACE, run.hour, parent=table.current())
