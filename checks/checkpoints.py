@@ -9,6 +9,8 @@ from tidemark.functions.names import target_name
 from tidemark.functions.predicates import bucketed_checkpoint_predicate, checkpoint_predicate
 from tidemark.operators import checkpoint as cp, config as cf
 from tidemark.operators.checkpoint import specs_of
+from tidemark.operators.transforms import lowercase_columns
+from tidemark.session import fresh_folder
 
 
 def _read(name: str, definition: str, values: str):
@@ -57,8 +59,6 @@ def next_checkpoint_empty(spark, sf_dir):
 
 def observed_checkpoint(spark, sf_dir):
     """The maximum and count seen while the rows are written somewhere else."""
-    from tidemark.session import fresh_folder
-
     specs = specs_of("o_orderdate::timestamp::>|o_orderkey::numeric::>", "1990-01-01 00:00:00|0")
     rows, seen = cp.observe_checkpoint(
         table(spark, sf_dir, "orders"), [s.field for s in specs]
@@ -102,6 +102,16 @@ def active_objects(spark, sf_dir):
     return cf.active_objects(config(spark, sf_dir), "ns1", "GRP_A")
 
 
+def config_import(spark, sf_dir):
+    """A stored configuration with text flags, lower-case names and a column missing."""
+    path = fresh_folder(spark, "config")
+    stored = config(spark, sf_dir).drop("SOURCE_KEY_FIELDS").withColumn(
+        "IS_ACTIVE", F.when(F.col("IS_ACTIVE"), "True").otherwise("FALSE")
+    )
+    lowercase_columns(stored).write.parquet(path)
+    return cf.read_config(spark, path)
+
+
 def list_objects(spark, sf_dir):
     return cf.list_objects(config(spark, sf_dir))
 
@@ -247,6 +257,11 @@ def checks():
             f"WITH {CONFIG_SQL} SELECT * FROM config WHERE SOURCE_NAMESPACE = 'ns1' "
             "AND PROC_GROUP = 'GRP_A' AND LAYER_TYPE = 'BRONZE' AND IS_ACTIVE",
         ),
+        "config_import": (
+            config_import,
+            f"WITH {CONFIG_SQL} SELECT * REPLACE (NULL::VARCHAR AS SOURCE_KEY_FIELDS) "
+            "FROM config",
+        ),
         "list_objects": (
             list_objects,
             f"WITH {CONFIG_SQL} SELECT DISTINCT SOURCE_TABLE_NAME FROM config "

@@ -21,7 +21,7 @@ from tidemark.operators.transforms import void_to_string, with_row_hash
 from tidemark.plans.lander import raw_rows
 from tidemark.session import fresh_folder
 from tidemark.sources.files import read_documents, read_files
-from tidemark.tables.snapshots import expired_snapshots
+from tidemark.tables.snapshots import current_snapshot as current_rows, expired_snapshots
 
 
 def file_log_rows(spark, sf_dir):
@@ -115,9 +115,7 @@ def expired_snapshot_rows(spark, sf_dir):
 
 
 def current_snapshot(spark, sf_dir):
-    from tidemark.tables.snapshots import current_snapshot as current
-
-    return current(_snapshot_log(spark, sf_dir))
+    return current_rows(_snapshot_log(spark, sf_dir))
 
 
 def file_inventory(spark, sf_dir):

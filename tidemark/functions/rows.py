@@ -39,3 +39,18 @@ def ntz(ts: datetime | str) -> Column:
     """A zone-free timestamp literal, whatever the session time zone."""
     text = ts if isinstance(ts, str) else ts.isoformat(sep=" ")
     return F.lit(text).cast("timestamp_ntz")
+
+
+def cut_to_hour(ts: Column) -> Column:
+    """The hour of a zone-free time. ``date_trunc`` would pass through the session
+    zone and go wrong in its daylight-saving gap."""
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), zero, zero
+    )
+
+
+def cut_to_second(ts: Column) -> Column:
+    return F.make_timestamp_ntz(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts)
+    )

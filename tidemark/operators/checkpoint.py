@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tidemark.functions.rows import ref
+from tidemark.functions.rows import cut_to_second, ref
 from tidemark.model import (
     BRONZE,
     CHECKPOINT_PART_SEPARATOR,
     CHECKPOINT_SEPARATOR,
     CheckpointSpec,
 )
+from tidemark.session import few_rows
 
 OBJECT_KEYS = ("SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "PROC_GROUP")
 
@@ -85,7 +86,7 @@ def _greatest_text(df: DataFrame, name: str, precision: str | None) -> Column:
         # Same wall clock as the zone-free literal the next read compares with.
         top = top.cast("timestamp_ntz")
     if precision == "second" and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        top = F.date_trunc("second", top).cast("timestamp_ntz")
+        top = cut_to_second(top)
     return top.cast("string")
 
 
@@ -160,8 +161,14 @@ def advance_checkpoints(config: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+MOVED = T.StructType(
+    [
+        T.StructField("SOURCE_NAMESPACE", T.StringType()),
+        T.StructField("SOURCE_TABLE_NAME", T.StringType()),
+        T.StructField("checkpoint", T.StringType()),
+    ]
+)
+
+
 def checkpoint_row(spark, namespace: str, table: str, checkpoint: str | None) -> DataFrame:
-    return spark.createDataFrame(
-        [Row(SOURCE_NAMESPACE=namespace, SOURCE_TABLE_NAME=table, checkpoint=checkpoint)],
-        "SOURCE_NAMESPACE string, SOURCE_TABLE_NAME string, checkpoint string",
-    )
+    return few_rows(spark, [(namespace, table, checkpoint)], MOVED)

@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.model import BRONZE, LANDER, NOT_AVAILABLE, ObjectSpec
+from tidemark.functions.rows import ref
+from tidemark.model import BRONZE, LANDER, NOT_AVAILABLE, PIPELINE_CONFIG, ObjectSpec
 from tidemark.operators.checkpoint import OBJECT_KEYS, specs_of
 
 
-def _flag(config: DataFrame, name: str):
-    """A flag column as boolean, also where a source keeps it as text."""
-    if config.schema[name].dataType.typeName() == "boolean":
-        return F.col(name)
-    return F.upper(F.col(name).cast("string")) == "TRUE"
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the types and order of ``schema``, columns matched ignoring case.
+
+    Stores that keep flags as text spell them in several ways; all become boolean.
+    Columns the store lacks are null.
+    """
+    own = {f.name.lower(): f for f in df.schema}
+
+    def typed(field: T.StructField):
+        have = own.get(field.name.lower())
+        if have is None:
+            value = F.lit(None)
+        elif isinstance(field.dataType, T.BooleanType) and isinstance(have.dataType, T.StringType):
+            value = F.upper(F.trim(ref(have.name))) == "TRUE"
+        else:
+            value = ref(have.name)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[typed(f) for f in schema])
+
+
+def read_config(spark: SparkSession, source: str, fmt: str | None = None, **options) -> DataFrame:
+    """The configuration, from a catalog table, Parquet files or a connector.
+
+    A missing database or table is an error here, not an empty run later.
+    """
+    if fmt is not None:
+        rows = spark.read.format(fmt).options(dbtable=source, **options).load()
+    else:
+        rows = spark.read.parquet(source) if "/" in source else spark.table(source)
+    return conform(rows, PIPELINE_CONFIG)
 
 
 def active_objects(
@@ -23,7 +50,7 @@ def active_objects(
         (F.col("SOURCE_NAMESPACE") == namespace)
         & (F.col("PROC_GROUP") == proc_group)
         & F.col("LAYER_TYPE").isin(*layers)
-        & _flag(config, "IS_ACTIVE")
+        & F.col("IS_ACTIVE")
     )
 
 

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions.names import path_hour, path_part, relative_path
-from tidemark.functions.rows import ntz
+from tidemark.functions.rows import cut_to_hour, ntz
 from tidemark.model import FILE_INGEST_LOG, INCR_LOAD, NOT_AVAILABLE
+from tidemark.session import few_rows
 from tidemark.sources.files import path_exists
 
-INVENTORY = "path string, modified timestamp_ntz, length bigint"
+INVENTORY = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modified", T.TimestampNTZType()),
+        T.StructField("length", T.LongType()),
+    ]
+)
 FILE_NAME_NOISE = "_SUCCESS"
 
 
@@ -25,7 +32,7 @@ def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
 
     present = [p for p in paths if path_exists(spark, p)]
     if not present:
-        return spark.createDataFrame([], INVENTORY)
+        return few_rows(spark, [], INVENTORY)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(present)
     return files.select(
         "path",
@@ -112,9 +119,7 @@ def expired_files(inventory: DataFrame, keep: int = 3, group: str = "table_name"
     hours of a group and never its files; files are then matched by group and
     hour, which spreads a group that owns most of the files.
     """
-    stamped = inventory.withColumn(
-        "run_hour", F.date_trunc("hour", "modified").cast("timestamp_ntz")
-    )
+    stamped = inventory.withColumn("run_hour", cut_to_hour(F.col("modified")))
     latest_first = Window.partitionBy(group).orderBy(F.col("run_hour").desc())
     expired = (
         stamped.select(group, "run_hour")

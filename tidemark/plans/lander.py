@@ -51,10 +51,11 @@ def land_pending(
     log is marked after the target is published: a crash between the two lands
     the same files again into a target that is replaced, never doubled.
     """
-    files = log.pending(run, table).collect()
-    if not files:
+    pending = log.pending(run, table)
+    paths = [f.file_path for f in pending.select("file_path").collect()]
+    if not paths:
         return 0
-    land_files(spark, [f.file_path for f in files], target, run)
-    done = spark.createDataFrame([(f.FILE_UID,) for f in files], "FILE_UID string")
-    log.done(done, run.run_ts)
-    return len(files)
+    land_files(spark, paths, target, run)
+    # ``pending`` is bound to the log version read above, so both lists agree.
+    log.done(pending, run.run_ts)
+    return len(paths)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # A side of a join is broadcast only when its row count is known to be at or below
 # this bound (a few tens of megabytes of hashes or keys per executor).
@@ -53,3 +55,22 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     its run-time skew handling applies.
     """
     return F.broadcast(df) if df.count() <= limit else df
+
+
+def few_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of driver-side values (or none) as literals: no Python task runs."""
+
+    def literal(value):
+        # As text, a time is not shifted between the Python and the session zone.
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, datetime) else value)
+
+    def typed(values: tuple):
+        pairs = zip(schema, values, strict=True)
+        return F.struct(*[literal(v).cast(f.dataType).alias(f.name) for f, v in pairs])
+
+    rows = list(rows)
+    if not rows:
+        return spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        )
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*map(typed, rows))))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tidemark.session import few_rows
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
@@ -24,7 +26,7 @@ def read_files(
     if not paths:
         if schema is None:
             raise ValueError("an empty file list needs a schema")
-        return spark.createDataFrame([], schema)
+        return few_rows(spark, [], schema)
     reader = spark.read.option("recursiveFileLookup", "true")
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
     return reader.parquet(*paths)

@@ -105,11 +105,6 @@ def read_connector(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     return spark.read.format(fmt).options(**options).load()
 
 
-def read_table_or_files(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by name, or Parquet files when ``source`` looks like a path."""
-    return spark.read.parquet(source) if "/" in source else spark.table(source)
-
-
 def jdbc_loader(
     base: JdbcSpec, splits: Mapping[str, tuple[str, str | int, str | int, int]] | None = None
 ) -> Loader:

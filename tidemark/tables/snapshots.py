@@ -15,7 +15,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
+from tidemark.functions.rows import cut_to_hour
 from tidemark.model import HASH_VERSION, SNAPSHOT_LOG
+from tidemark.session import few_rows
 from tidemark.sources.files import path_exists
 
 APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
@@ -43,9 +45,7 @@ def expired_snapshots(log: DataFrame, keep: int = 3) -> DataFrame:
     Ranks distinct hours only, then matches rows by table and hour. The current
     snapshot is by definition in the latest hour and is never listed.
     """
-    stamped = log.withColumn(
-        "commit_hour", F.date_trunc("hour", "committed_at").cast("timestamp_ntz")
-    )
+    stamped = log.withColumn("commit_hour", cut_to_hour(F.col("committed_at")))
     latest_first = Window.partitionBy("table_name").orderBy(F.col("commit_hour").desc())
     expired = (
         stamped.select("table_name", "commit_hour")
@@ -94,7 +94,7 @@ class VersionedTable:
 
     def log(self) -> DataFrame:
         if not path_exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], SNAPSHOT_LOG)
+            return few_rows(self.spark, [], SNAPSHOT_LOG)
         return self.spark.read.schema(SNAPSHOT_LOG).parquet(self.log_path)
 
     def history(self) -> list[Row]:
@@ -134,9 +134,7 @@ class VersionedTable:
             **row,
         }
         values = tuple(full.get(f.name) for f in SNAPSHOT_LOG)
-        self.spark.createDataFrame([values], SNAPSHOT_LOG).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.log_path)
+        few_rows(self.spark, [values], SNAPSHOT_LOG).write.mode("append").parquet(self.log_path)
         committed = Row(**dict(zip(SNAPSHOT_LOG.names, values)))
         self._history = [*rows, committed]
         return committed
@@ -254,7 +252,7 @@ class VersionedTable:
         )
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
-        return self.spark.createDataFrame([], schema) if self.current() is None else self.read()
+        return few_rows(self.spark, [], schema) if self.current() is None else self.read()
 
 
 def write_parquet(
