@@ -13,6 +13,7 @@ from checks.derived import (
 )
 from tidemark.operators.changes import new_rows, region_filter, region_semi_filter
 from tidemark.operators.transforms import with_row_hash
+from tidemark.session import BROADCAST_ROWS
 
 
 def incremental_diff(spark, sf_dir, broadcast_rows=None):
@@ -48,7 +49,7 @@ def _lineitem_diff(spark, sf_dir, broadcast_rows):
 
 
 def incremental_diff_lineitem(spark, sf_dir):
-    return _lineitem_diff(spark, sf_dir, 5_000_000)
+    return _lineitem_diff(spark, sf_dir, BROADCAST_ROWS)
 
 
 def incremental_diff_lineitem_shuffled(spark, sf_dir):
