@@ -11,6 +11,7 @@ from tidemark.operators import checkpoint as cp, config as cf
 from tidemark.operators.checkpoint import specs_of
 from tidemark.operators.transforms import lowercase_columns
 from tidemark.session import fresh_folder
+from tidemark.tables.checkpoints import latest_moves
 
 
 def _read(name: str, definition: str, values: str):
@@ -175,6 +176,30 @@ def advance_checkpoints(spark, sf_dir):
     return moved.select("TARGET_TABLE_NAME", "LAYER_TYPE", "CHECKPOINT_TO_VALUE")
 
 
+def carried_checkpoints(spark, sf_dir):
+    """Two stored moves per object, some of them from a value configured no longer."""
+    resolved = cf.resolve_objects(config(spark, sf_dir))
+    moves = resolved.selectExpr(
+        "SOURCE_NAMESPACE",
+        "SOURCE_TABLE_NAME",
+        "CASE WHEN source_system = 'MYSQL' THEN 'edited' ELSE checkpoint_value END AS configured",
+        "explode(array(2L, 1L)) AS position",
+    ).withColumn("checkpoint", F.concat(F.lit("move-"), F.col("position")))
+    return cf.with_moves(resolved, latest_moves(moves)).select(
+        "SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "PROC_GROUP", "checkpoint_value", "configured"
+    )
+
+
+CARRIED_SQL = f"""
+WITH {CONFIG_SQL},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY SOURCE_NAMESPACE, SOURCE_TABLE_NAME,
+    PROC_GROUP ORDER BY TARGET_TABLE_NAME) AS rn FROM config WHERE LAYER_TYPE = 'BRONZE')
+SELECT SOURCE_NAMESPACE, SOURCE_TABLE_NAME, PROC_GROUP,
+  CASE WHEN SOURCE_SYSTEM = 'MYSQL' THEN CHECKPOINT_TO_VALUE ELSE 'move-2' END
+    AS checkpoint_value, CHECKPOINT_TO_VALUE AS configured
+FROM ranked WHERE rn = 1"""
+
+
 ADVANCE_SQL = f"""
 WITH {CONFIG_SQL},
 new AS (SELECT 'ns' || (p_partkey // 2 % 3) AS ns, 'obj_' || (p_partkey // 2) AS obj,
@@ -282,5 +307,6 @@ def checks():
             "FROM config",
         ),
         "primary_keys": (primary_keys, PRIMARY_KEYS_SQL),
+        "carried_checkpoints": (carried_checkpoints, CARRIED_SQL),
         "advance_checkpoints": (advance_checkpoints, ADVANCE_SQL),
     }

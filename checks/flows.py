@@ -39,6 +39,7 @@ from tidemark.plans.lander import land_pending
 from tidemark.session import fresh_folder
 from tidemark.sources.readers import json_loader, parquet_loader, read_source
 from tidemark.streaming.lander import land_stream, read_landed
+from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
 from tidemark.tables.hours import read_load
 from tidemark.tables.snapshots import VersionedTable
 
@@ -201,10 +202,8 @@ def read_source_region(spark, sf_dir):
 
 
 def ingest(spark, sf_dir):
-    """A configured run over three objects, the second run an hour later.
+    """A configured run over three objects: rows per object, and checkpoint moves."""
 
-    Rows per object and what the checkpoints became.
-    """
     def row(name, method, definition=None, value=None, layer="BRONZE", target=None, mode=None):
         found = dict(
             SOURCE_NAMESPACE="shop",
@@ -228,12 +227,9 @@ def ingest(spark, sf_dir):
         row("lineitem", FULL_EXTRACT),
         row("orders", KEY_INCR_EXTRACT, "o_orderkey::numeric::>=", "1000"),
     ]
-    root = fresh_folder(spark, "ingest")
-    config = VersionedTable(spark, root, "pipeline_config")
-    config.replace(spark.createDataFrame(rows, PIPELINE_CONFIG).coalesce(1))
-    loaders = {POSTGRESQL: parquet_loader(sf_dir)}
-    stores = _stores(spark, root)
-    flows.ingest(config, "shop", "A", loaders, stores)
+    config = spark.createDataFrame(rows, PIPELINE_CONFIG)
+    stores = _stores(spark)
+    flows.ingest(config, "shop", "A", {POSTGRESQL: parquet_loader(sf_dir)}, stores)
     counts = [
         read_load(spark, stores.run, name, kind).agg(
             F.lit(name).alias("object"), F.count(F.lit(1)).alias("row_count")
@@ -249,9 +245,8 @@ def ingest(spark, sf_dir):
     found = counts[0]
     for more in counts[1:]:
         found = found.unionAll(more)
-    moved = config.read().where("SOURCE_TABLE_NAME = 'orders'").select(
-        F.lit("orders").alias("object"), F.col("CHECKPOINT_TO_VALUE").alias("checkpoint")
-    )
+    moves = CheckpointMoves(spark, stores.run.root).read()
+    moved = latest_moves(moves).select(F.col("SOURCE_TABLE_NAME").alias("object"), "checkpoint")
     return found.join(moved, "object", "left")
 
 

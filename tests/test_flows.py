@@ -19,6 +19,7 @@ from tidemark.operators.checkpoint import specs_of
 from tidemark.plans import flows
 from tidemark.plans.flows import Stores
 from tidemark.sources.readers import parquet_loader
+from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
 from tidemark.tables.hours import read_load
 from tidemark.tables.snapshots import VersionedTable
 
@@ -193,33 +194,59 @@ def row(name, method, **more):
 
 
 def test_ingest_runs_active_objects_and_moves_checkpoints(spark, sf, run, stores):
-    config = VersionedTable(spark, run.root, "pipeline_config")
-    config.replace(
-        config_rows(
+    def config(value):
+        return config_rows(
             spark,
-            row("orders", KEY_INCR_EXTRACT, CHECKPOINT_FIELD_DEF=DEFINITION, CHECKPOINT_TO_VALUE="100"),
+            row("orders", KEY_INCR_EXTRACT, CHECKPOINT_FIELD_DEF=DEFINITION, CHECKPOINT_TO_VALUE=value),
             row("region", FULL_EXTRACT),
             row("nation", FULL_EXTRACT, IS_ACTIVE=False),
             row("part", FULL_EXTRACT, PROC_GROUP="B"),
             row("supplier", FULL_EXTRACT, SOURCE_NAMESPACE="elsewhere"),
         )
-    )
-    done = flows.ingest(config, "shop", "A", {"POSTGRESQL": parquet_loader(sf)}, stores)
+
+    loaders = {"POSTGRESQL": parquet_loader(sf)}
+    done = flows.ingest(config("100"), "shop", "A", loaders, stores)
     assert [o.source_table for o in done] == ["orders", "region"]
-    top = spark.read.parquet(f"{sf}/orders.parquet").agg(F.max("o_orderkey")).first()[0]
-    stored = config.refresh().read().where("SOURCE_TABLE_NAME = 'orders'").first()
-    assert stored.CHECKPOINT_TO_VALUE == str(top)
-    assert config.read().count() == 5
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    moves = CheckpointMoves(spark, run.root)
+    assert [r.checkpoint for r in moves.read().collect()] == [str(top)]
     # The same run again finds nothing new and moves nothing.
-    version = config.current().version
-    flows.ingest(config, "shop", "A", {"POSTGRESQL": parquet_loader(sf)}, later(spark, run, 1))
-    assert config.refresh().current().version == version
-    assert read_load(spark, later(spark, run, 1).run, "t_orders", KEY_INCR_LOAD).isEmpty()
+    second = later(spark, run, 1)
+    flows.ingest(config("100"), "shop", "A", loaders, second)
+    assert moves.read().count() == 1
+    assert read_load(spark, second.run, "t_orders", KEY_INCR_LOAD).isEmpty()
+    # An edited configuration restarts the object from the edited value.
+    third = later(spark, run, 2)
+    flows.ingest(config("200"), "shop", "A", loaders, third)
+    found = read_load(spark, third.run, "t_orders", KEY_INCR_LOAD)
+    assert found.count() == orders.where("o_orderkey > 200").count()
+    assert {r.configured: r.checkpoint for r in latest_moves(moves.read()).collect()} == {
+        "100": str(top),
+        "200": str(top),
+    }
+
+
+def test_moves_are_followed_in_order(spark, run):
+    moves = CheckpointMoves(spark, run.root)
+    one = spec(KEY_INCR_EXTRACT, "orders", configured_checkpoint="1")
+    for value in ("9", "10", "11"):
+        moves.advance(one, value)
+    assert [r.checkpoint for r in latest_moves(moves.read()).collect()] == ["11"]
+
+
+def test_tables_are_logged_independently(spark, run, customers):
+    """Two runs at once, each with its own view of the log, lose nothing."""
+    one, two = Stores.parquet(spark, run), Stores.parquet(spark, run)
+    flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "a"), one)
+    flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "b"), two)
+    flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "c"), one)
+    assert one.log.tables() == ["a", "b", "c"]
+    assert {r.TABLE_NAME for r in two.log.read().collect()} == {"a", "b", "c"}
 
 
 def test_ingest_stops_at_the_first_failure(spark, sf, run, stores):
-    config = VersionedTable(spark, run.root, "pipeline_config")
-    config.replace(config_rows(spark, row("a_missing", FULL_EXTRACT), row("region", FULL_EXTRACT)))
+    config = config_rows(spark, row("a_missing", FULL_EXTRACT), row("region", FULL_EXTRACT))
     with pytest.raises(Exception, match="a_missing"):
         flows.ingest(config, "shop", "A", {"POSTGRESQL": parquet_loader(sf)}, stores)
     assert stores.log.read().isEmpty()

@@ -189,3 +189,4 @@ class ObjectSpec:
     lander_from: str = NOT_AVAILABLE
     lander_target: str = NOT_AVAILABLE
     checkpoints: tuple[CheckpointSpec, ...] = field(default=())
+    configured_checkpoint: str | None = None

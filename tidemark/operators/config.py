@@ -124,9 +124,34 @@ def primary_keys(config: DataFrame) -> DataFrame:
     )
 
 
-def object_specs(config: DataFrame) -> list[ObjectSpec]:
+def with_moves(resolved: DataFrame, moves: DataFrame) -> DataFrame:
+    """Carry configured checkpoint values forward by the latest stored moves.
+
+    ``moves`` has one row per object and configured value. Adds ``configured``.
+    """
+    keys = ["SOURCE_NAMESPACE", "SOURCE_TABLE_NAME"]
+    left, right = resolved.alias("r"), moves.alias("m")
+    same = [F.col(f"r.{k}") == F.col(f"m.{k}") for k in keys]
+    same.append(F.col("r.checkpoint_value").eqNullSafe(F.col("m.configured")))
+    return left.join(right, same, "left").select(
+        *[
+            F.coalesce("m.checkpoint", "r.checkpoint_value").alias(c)
+            if c == "checkpoint_value"
+            else F.col(f"r.{c}")
+            for c in resolved.columns
+        ],
+        F.col("r.checkpoint_value").alias("configured"),
+    )
+
+
+def object_specs(config: DataFrame, moves: DataFrame | None = None) -> list[ObjectSpec]:
     """All objects of a run in one job: one configuration row each."""
-    rows = resolve_objects(config).collect()
+    resolved = resolve_objects(config)
+    if moves is None:
+        resolved = resolved.withColumn("configured", F.col("checkpoint_value"))
+    else:
+        resolved = with_moves(resolved, moves)
+    rows = resolved.collect()
     return sorted(
         (
             ObjectSpec(
@@ -141,6 +166,7 @@ def object_specs(config: DataFrame) -> list[ObjectSpec]:
                 lander_from=r.lander_from,
                 lander_target=r.lander_target,
                 checkpoints=specs_of(r.checkpoint_def, r.checkpoint_value),
+                configured_checkpoint=r.configured,
             )
             for r in rows
         ),

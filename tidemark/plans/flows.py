@@ -26,12 +26,7 @@ from tidemark.model import (
     Run,
 )
 from tidemark.operators.changes import new_rows
-from tidemark.operators.checkpoint import (
-    advance_checkpoints,
-    checkpoint_row,
-    observe_checkpoint,
-    observed_value,
-)
+from tidemark.operators.checkpoint import observe_checkpoint, observed_value
 from tidemark.operators.config import active_objects, object_specs
 from tidemark.operators.transforms import (
     drop_technical,
@@ -44,6 +39,7 @@ from tidemark.operators.transforms import (
 from tidemark.plans.lander import land_pending
 from tidemark.session import BROADCAST_ROWS
 from tidemark.sources.readers import Loader, read_source
+from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
 from tidemark.tables.hours import write_load
 from tidemark.tables.log import FileLog
 from tidemark.tables.snapshots import REPLACE, VersionedTable
@@ -215,24 +211,15 @@ def ingest_object(
     return key_incr_extract(source, spec, stores, advance)
 
 
-def config_advance(spark: SparkSession, config: VersionedTable) -> Advance:
-    """Moves checkpoints in a configuration kept as a versioned table."""
-
-    def advance(spec: ObjectSpec, checkpoint: str) -> None:
-        new = checkpoint_row(spark, spec.namespace, spec.source_table, checkpoint)
-        config.replace(advance_checkpoints(config.read(), new))
-
-    return advance
-
-
 def ingest(
-    config: VersionedTable,
+    config: DataFrame,
     namespace: str,
     proc_group: str,
     loaders: Mapping[str, Loader],
     stores: Stores,
 ) -> list[Outcome]:
     """Run every active object of a namespace and group; the first failure stops it."""
-    active = active_objects(config.read(), namespace, proc_group, (BRONZE, LANDER))
-    advance = config_advance(stores.spark, config)
-    return [ingest_object(s, loaders, stores, advance) for s in object_specs(active)]
+    active = active_objects(config, namespace, proc_group, (BRONZE, LANDER))
+    moves = CheckpointMoves(stores.spark, stores.run.root)
+    specs = object_specs(active, latest_moves(moves.read()))
+    return [ingest_object(s, loaders, stores, moves.advance) for s in specs]

@@ -57,5 +57,5 @@ def land_pending(
         return 0
     land_files(spark, paths, target, run)
     # ``pending`` is bound to the log version read above, so both lists agree.
-    log.done(pending, run.run_ts)
+    log.done(table, pending, run.run_ts)
     return len(paths)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import key_below
-from tidemark.model import FILE_INGEST_LOG, Run
+from tidemark.model import FILE_INGEST_LOG, SNAPSHOT_LOG, Run
 from tidemark.operators.filelog import (
     file_inventory,
     mark_processed,
@@ -15,21 +15,36 @@ from tidemark.operators.filelog import (
     to_log_rows,
     unlogged,
 )
+from tidemark.session import few_rows
+from tidemark.sources.files import path_exists
 from tidemark.tables.snapshots import VersionedTable
 
 
 class FileLog:
-    """The file log as a versioned table below the run's root.
+    """The file log, kept as one small versioned table per logged table.
 
-    It holds one row per written file, so it stays small beside the data.
+    Runs over different tables can therefore log at the same time; one run at a
+    time per table is assumed. The log holds one row per written file.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str = "file_ingest_log"):
-        self.spark = spark
-        self.table = VersionedTable(spark, root, name)
+        self.spark, self.root = spark, f"{root.rstrip('/')}/{name}"
 
-    def read(self) -> DataFrame:
-        return self.table.read_or_empty(FILE_INGEST_LOG)
+    def part(self, table: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.root, table)
+
+    def read(self, *tables: str) -> DataFrame:
+        """Log rows of the given tables, of all logged tables when none is given."""
+        found = few_rows(self.spark, [], FILE_INGEST_LOG)
+        for table in tables or self.tables():
+            found = found.unionByName(self.part(table).read_or_empty(FILE_INGEST_LOG))
+        return found
+
+    def tables(self) -> list[str]:
+        if not path_exists(self.spark, self.root):
+            return []
+        logs = self.spark.read.schema(SNAPSHOT_LOG).parquet(f"{self.root}/*/_snapshot_log")
+        return sorted(r.table_name for r in logs.select("table_name").distinct().collect())
 
     def record(self, run: Run, table: str, folder: str) -> None:
         """Log the files of a written folder.
@@ -37,20 +52,22 @@ class FileLog:
         Rows of files that an earlier try left there and that are gone now are
         taken out, so nothing later looks for a missing file.
         """
+        part = self.part(table)
+        log = part.read_or_empty(FILE_INGEST_LOG)
         new = to_log_rows(file_inventory(self.spark, folder), table, run.bucket, run.run_ts)
-        log = self.read()
         inside = F.col("FILE_WITH_PATH").startswith(key_below(folder, run.bucket) + "/")
         stale = log.where(inside).join(new.select("FILE_UID"), "FILE_UID", "left_anti")
-        if stale.isEmpty():
-            self.table.append(unlogged(log, new).hint("rebalance"))
+        if part.current() is None or stale.isEmpty():
+            part.append(unlogged(log, new).hint("rebalance"))
         else:
             kept = log.join(stale.select("FILE_UID"), "FILE_UID", "left_anti")
-            self.table.replace(
+            part.replace(
                 kept.select(*log.columns).unionByName(unlogged(log, new)).hint("rebalance")
             )
 
     def pending(self, run: Run, table: str) -> DataFrame:
-        return pending_files(self.read(), table, run.scheme)
+        return pending_files(self.read(table), table, run.scheme)
 
-    def done(self, files: DataFrame, ts: datetime) -> None:
-        self.table.replace(mark_processed(self.read(), files, ts).hint("rebalance"))
+    def done(self, table: str, files: DataFrame, ts: datetime) -> None:
+        marked = mark_processed(self.read(table), files, ts)
+        self.part(table).replace(marked.hint("rebalance"))
