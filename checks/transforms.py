@@ -88,7 +88,7 @@ def region_tag(spark, sf_dir):
 
 def normalise_timestamps(spark, sf_dir):
     zoned = table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts")
+        "event_id", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("ts")
     )
     return t.normalise_timestamps(zoned)
 

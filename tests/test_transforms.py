@@ -97,11 +97,16 @@ def test_region_tag_without_region(spark):
     assert t.with_region_tag(spark.range(1), "orders").first().ITB_DB_REGION is None
 
 
-def test_normalise_timestamps_outside_utc(spark):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+@pytest.mark.parametrize(
+    "text", ["2024-01-01 00:00:00", "2024-03-10 02:30:00.000001", "2024-11-03 05:30:00", "1969-07-20 20:17:40"]
+)
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_normalise_timestamps_outside_utc(spark, zone, text):
+    """Also where the session zone skips or repeats the hour."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        rows = spark.sql("SELECT timestamp'2024-01-01 00:00:00Z' AS a, 1 AS b")
-        assert t.normalise_timestamps(rows).first().a == datetime(2024, 1, 1)
+        rows = spark.sql(f"SELECT timestamp'{text}Z' AS a, 1 AS b")
+        assert t.normalise_timestamps(rows).first().a == datetime.fromisoformat(text)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -54,3 +54,9 @@ def cut_to_second(ts: Column) -> Column:
     return F.make_timestamp_ntz(
         F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts)
     )
+
+
+def utc_wall_clock(ts: Column) -> Column:
+    """The zone-free UTC time of an instant, counted from the epoch and therefore
+    free of the session zone with its missing and doubled hours."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), ntz("1970-01-01 00:00:00"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions.names import path_hour, path_part, relative_path
-from tidemark.functions.rows import cut_to_hour, ntz
+from tidemark.functions.rows import cut_to_hour, ntz, utc_wall_clock
 from tidemark.model import FILE_INGEST_LOG, INCR_LOAD, NOT_AVAILABLE
 from tidemark.session import few_rows
 from tidemark.sources.files import path_exists
@@ -34,13 +34,8 @@ def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
     if not present:
         return few_rows(spark, [], INVENTORY)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(present)
-    return files.select(
-        "path",
-        F.to_utc_timestamp("modificationTime", F.current_timezone())
-        .cast("timestamp_ntz")
-        .alias("modified"),
-        "length",
-    )
+    modified = utc_wall_clock(F.col("modificationTime")).alias("modified")
+    return files.select("path", modified, "length")
 
 
 def to_log_rows(inventory: DataFrame, table: str, bucket: str, run_ts: datetime) -> DataFrame:

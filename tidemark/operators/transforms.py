@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.rows import ntz, ref, row_hash, row_json
+from tidemark.functions.rows import ntz, ref, row_hash, row_json, utc_wall_clock
 from tidemark.model import HASH, INGEST_STAMP, REGION_TAG, RESERVED_RENAME, SRC, utc_naive
 
 
@@ -107,9 +107,7 @@ def normalise_timestamps(df: DataFrame) -> DataFrame:
     """Bring zoned timestamp columns to one zone-free UTC form."""
     return df.select(
         *[
-            F.to_utc_timestamp(ref(f.name), F.current_timezone())
-            .cast("timestamp_ntz")
-            .alias(f.name)
+            utc_wall_clock(ref(f.name)).alias(f.name)
             if isinstance(f.dataType, T.TimestampType)
             else ref(f.name)
             for f in df.schema
