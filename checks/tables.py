@@ -101,13 +101,15 @@ def snapshot_history(spark, sf_dir):
         target.append(orders.where(F.col("o_orderstatus") == status))
         target.append(orders.where(F.col("o_orderstatus") == status))
         target.rollback()
-        counted = target.read().groupBy().agg(F.count(F.lit(1)).alias("row_count"))
+        counted = target.read().agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+            "table_name", F.lit(status)
+        )
         row = target.log().groupBy("table_name").agg(
             F.max_by("snapshot_id", "version").alias("current_id"),
             F.max_by("operation", "version").alias("operation"),
             F.count(F.lit(1)).alias("commits"),
         )
-        row = row.crossJoin(F.broadcast(counted))
+        row = row.join(counted, "table_name")
         found = row if found is None else found.unionAll(row)
     return found
 

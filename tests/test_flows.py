@@ -125,6 +125,41 @@ def test_checkpoint_failure_leaves_table_and_checkpoint(spark, sf, run, stores,
     assert moved == [str(spark.read.parquet(f"{sf}/orders.parquet").agg(F.max("o_orderkey")).first()[0])]
 
 
+def test_slice_repeated_in_a_later_hour_is_not_doubled(spark, sf, run, stores):
+    """The checkpoint could not be moved at ten; at eleven the slice is read again."""
+    rows, specs = orders_slice(spark, sf, "500")
+    one = spec(KEY_INCR_EXTRACT, "orders", checkpoints=specs)
+
+    def broken(*_):
+        raise RuntimeError("configuration store is down")
+
+    with pytest.raises(RuntimeError):
+        flows.key_incr_extract(rows, one, stores, broken)
+    second = later(spark, run, 1)
+    flows.key_incr_extract(rows, one, second, lambda *_: None)
+    assert read_load(spark, run, "orders", KEY_INCR_LOAD).isEmpty()
+    assert read_load(spark, second.run, "orders", KEY_INCR_LOAD).count() == rows.count()
+    logged = [r.file_path for r in second.log.pending(run, "orders").collect()]
+    assert spark.read.parquet(*logged).count() == rows.count()
+
+
+def test_crash_before_publishing_loses_no_increment(spark, run, stores, customers, monkeypatch):
+    flows.full_extract_incr(customers.limit(10), spec(FULL_EXTRACT_INCR), stores)
+
+    def broken(*_, **__):
+        raise RuntimeError("driver lost")
+
+    second = later(spark, run, 1)
+    with monkeypatch.context() as patch:
+        patch.setattr(VersionedTable, "publish", broken)
+        with pytest.raises(RuntimeError):
+            flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), second)
+    third = later(spark, run, 2)
+    flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), third)
+    found = read_load(spark, third.run, "customer", INCR_LOAD)
+    assert found.count() == customers.count() - 10
+
+
 def test_empty_slice_moves_nothing(spark, sf, stores):
     rows, specs = orders_slice(spark, sf, "99999999")
     one = spec(KEY_INCR_EXTRACT, "orders", checkpoints=specs)

@@ -177,16 +177,25 @@ def test_jdbc_options_that_cannot_work(bad):
         bad.reader_options()
 
 
-def test_jdbc_loader_splits(monkeypatch):
+def test_jdbc_loader_splits(spark, monkeypatch):
     from tidemark.sources import readers
 
-    seen = []
-    monkeypatch.setattr(readers, "read_jdbc", lambda _, s: seen.append(s))
-    load = jdbc_loader(JdbcSpec("jdbc:x", query="ignored"), {"big": ("id", 0, 100, 8)})
-    load(None, spec("MYSQL", "FULL_EXTRACT", "big"))
-    load(None, spec("MYSQL", "FULL_EXTRACT", "small"))
-    assert (seen[0].table, seen[0].num_partitions, seen[0].query) == ("big", 8, None)
-    assert (seen[1].table, seen[1].num_partitions) == ("small", None)
+    seen, bounds = [], {"SELECT min(id) AS low, max(id) AS high FROM big": (3, 90)}
+
+    def fake(_, s):
+        seen.append(s)
+        s.reader_options()
+        return spark.createDataFrame([bounds.get(s.query, (None, None))], "low int, high int")
+
+    monkeypatch.setattr(readers, "read_jdbc", fake)
+    load = jdbc_loader(JdbcSpec("jdbc:x", query="ignored"), {"big": ("id", 8), "empty": ("id", 8)})
+    for name in ("big", "small", "empty"):
+        load(spark, spec("MYSQL", "FULL_EXTRACT", name))
+    big, small, empty = (s for s in seen if s.query is None)
+    assert (big.table, big.lower_bound, big.upper_bound, big.num_partitions) == ("big", 3, 90, 8)
+    assert (small.table, small.num_partitions) == ("small", None)
+    assert (empty.table, empty.partition_column) == ("empty", None)
+    assert small.driver == "com.mysql.cj.jdbc.Driver"
 
 
 def test_relational_catalogue_reads_five_columns(spark, monkeypatch):

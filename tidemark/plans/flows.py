@@ -42,7 +42,7 @@ from tidemark.sources.readers import Loader, read_source
 from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
 from tidemark.tables.hours import write_load
 from tidemark.tables.log import FileLog
-from tidemark.tables.snapshots import REPLACE, VersionedTable
+from tidemark.tables.snapshots import REPLACE, VersionedTable, write_parquet
 
 Advance = Callable[[ObjectSpec, str], None]
 
@@ -151,8 +151,10 @@ def full_extract_incr(
         fresh = fresh.hint("rebalance")
     folder = write_load(fresh, run, spec.target_table, INCR_LOAD)
 
-    table.publish(snapshot_id, schema, REPLACE, run.hour, parent=table.current())
+    # Logged before it is published: a crash in between repeats the comparison,
+    # while the other order would leave rows that no later run finds new.
     stores.log.record(run, spec.target_table, folder)
+    table.publish(snapshot_id, schema, REPLACE, run.hour, parent=table.current())
     landed = _land_if_configured(spec, stores)
     return Outcome(
         spec.source_table, spec.target_table, FULL_EXTRACT_INCR, folder, landed_files=landed
@@ -166,7 +168,8 @@ def key_incr_extract(
 
     The new checkpoint and the row count are observed by the write itself. If the
     checkpoint cannot be moved, an append to a lakehouse table is taken back. The
-    slice is identified by the stored checkpoint, so a repeat replaces its rows.
+    slice is identified by the stored checkpoint, so a repeat replaces its rows,
+    and a repeat in a later hour empties the folder of the earlier try.
     """
     run = stores.run
     stamped = with_ingest_ts(
@@ -186,6 +189,10 @@ def key_incr_extract(
         where = table.path
     else:
         where = write_load(watched, run, spec.target_table, KEY_INCR_LOAD, slice_key)
+        stores.log.record(run, spec.target_table, where)
+        for earlier in stores.log.same_leaf(run, spec.target_table, where):
+            write_parquet(hashed.limit(0), earlier)
+            stores.log.record(run, spec.target_table, earlier)
 
     checkpoint, rows_seen = observed_value(seen, spec.checkpoints)
     if rows_seen and checkpoint is not None:
@@ -195,8 +202,6 @@ def key_incr_extract(
             if lake:
                 table.rollback(to_empty=True)
             raise
-    if not lake:
-        stores.log.record(run, spec.target_table, where)
     return Outcome(spec.source_table, spec.target_table, KEY_INCR_EXTRACT, where, checkpoint)
 
 

@@ -105,25 +105,35 @@ def read_connector(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     return spark.read.format(fmt).options(**options).load()
 
 
-def jdbc_loader(
-    base: JdbcSpec, splits: Mapping[str, tuple[str, str | int, str | int, int]] | None = None
-) -> Loader:
+def bounded(spark: SparkSession, spec: JdbcSpec) -> JdbcSpec:
+    """Ask the source for the bounds of the partition column; one row comes back.
+
+    An empty table is left unsplit.
+    """
+    whole = replace(spec, partition_column=None, num_partitions=None)
+    column = spec.partition_column
+    ask = f"SELECT min({column}) AS low, max({column}) AS high FROM {spec.table}"
+    low, high = read_jdbc(spark, replace(whole, table=None, query=ask)).first()
+    return whole if low is None else replace(spec, lower_bound=low, upper_bound=high)
+
+
+def jdbc_loader(base: JdbcSpec, splits: Mapping[str, tuple[str, int]] | None = None) -> Loader:
     """Reads ``source_table`` of an object through ``base``.
 
-    ``splits`` gives (column, lower, upper, count) of the tables read in parallel.
+    ``splits`` names the column and the number of range queries of the tables to
+    be read in parallel; a table without an entry is read by one task.
     """
 
     def load(spark: SparkSession, spec: ObjectSpec) -> DataFrame:
-        found = replace(base, table=spec.source_table, query=None)
+        found = replace(
+            base,
+            table=spec.source_table,
+            query=None,
+            driver=base.driver or JDBC_DRIVERS.get(spec.source_system.upper()),
+        )
         if splits and spec.source_table in splits:
-            column, low, high, count = splits[spec.source_table]
-            found = replace(
-                found,
-                partition_column=column,
-                lower_bound=low,
-                upper_bound=high,
-                num_partitions=count,
-            )
+            column, count = splits[spec.source_table]
+            found = bounded(spark, replace(found, partition_column=column, num_partitions=count))
         return read_jdbc(spark, found)
 
     return load

@@ -65,6 +65,19 @@ class FileLog:
                 kept.select(*log.columns).unionByName(unlogged(log, new)).hint("rebalance")
             )
 
+    def same_leaf(self, run: Run, table: str, folder: str) -> list[str]:
+        """Other logged folders of a table that end in the same folder name."""
+        parent = F.regexp_replace("FILE_WITH_PATH", "/[^/]*$", "")
+        own, leaf = key_below(folder, run.bucket), folder.rsplit("/", 1)[1]
+        found = (
+            self.read(table)
+            .select(parent.alias("folder"))
+            .where(F.col("folder").endswith("/" + leaf) & (F.col("folder") != own))
+            .distinct()
+            .collect()
+        )
+        return [f"{run.root}/{r.folder}" for r in found]
+
     def pending(self, run: Run, table: str) -> DataFrame:
         return pending_files(self.read(table), table, run.scheme)
 
