@@ -68,7 +68,7 @@ def incremental_diff_first_load(spark, sf_dir):
     return new_rows(with_row_hash(table(spark, sf_dir, "orders")), None)
 
 
-def incremental_diff_copies(spark, sf_dir):
+def incremental_diff_duplicates(spark, sf_dir):
     """Few distinct rows, each copied very often: all copies of a new row survive."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
     previous = flags.where("l_returnflag <> 'R'")
@@ -141,8 +141,8 @@ def checks():
             incremental_diff_first_load,
             f"SELECT {hash_sql(COLUMNS['orders'])} AS hash, * FROM orders",
         ),
-        "incremental_diff_copies": (
-            incremental_diff_copies,
+        "incremental_diff_duplicates": (
+            incremental_diff_duplicates,
             "SELECT l_returnflag, l_linestatus FROM lineitem WHERE l_returnflag = 'R'",
         ),
         "incremental_diff_micros": (

@@ -16,12 +16,16 @@ from checks.derived import (
     table,
 )
 from tidemark.functions.names import relative_path
+from tidemark.model import INCR_LOAD, Run
 from tidemark.operators import filelog as fl
 from tidemark.operators.transforms import void_to_string, with_row_hash
-from tidemark.plans.lander import raw_rows
+from tidemark.plans.lander import land_files
 from tidemark.session import fresh_folder
 from tidemark.sources.files import read_documents, read_files
-from tidemark.tables.snapshots import current_snapshot as current_rows, expired_snapshots
+from tidemark.tables.hours import write_load
+from tidemark.tables.log import FileLog
+from tidemark.tables.snapshots import VersionedTable, expired_snapshots
+from tidemark.tables.snapshots import current_snapshot as current_rows
 
 
 def file_log_rows(spark, sf_dir):
@@ -163,10 +167,34 @@ def read_json_documents(spark, sf_dir):
     return found.select("id", "gap", F.col("props.k").alias("k"))
 
 
-def land_raw_files(spark, sf_dir):
-    path = fresh_folder(spark, "bronze")
-    with_row_hash(table(spark, sf_dir, "customer")).write.parquet(path)
-    return raw_rows(spark, [path])
+def landed_files(spark, sf_dir):
+    """Bronze files, explicitly listed, replace what the raw target held before."""
+    run = Run(RUN_TS, fresh_folder(spark, "landing"))
+    customers = with_row_hash(table(spark, sf_dir, "customer"))
+    folder = write_load(customers, run, "customer", INCR_LOAD)
+    target = VersionedTable(spark, run.root, "raw_customer")
+    target.replace(table(spark, sf_dir, "orders").selectExpr("'old' AS SRC"))
+    land_files(spark, [folder], target, run)
+    return target.read()
+
+
+def stored_file_log(spark, sf_dir):
+    """Orders written and logged by status; the logged files hold exactly their rows."""
+    run = Run(RUN_TS, fresh_folder(spark, "logged"), files=2)
+    orders, log = table(spark, sf_dir, "orders"), FileLog(spark, run.root)
+    found = None
+    for status in ("F", "O", "P"):
+        for _ in range(2):  # the second try replaces the files of the first
+            rows = orders.where(F.col("o_orderstatus") == status)
+            log.record(run, status, write_load(rows, run, status, INCR_LOAD))
+        paths = [r.file_path for r in log.pending(run, status).collect()]
+        counted = read_files(spark, paths).agg(F.count(F.lit(1)).alias("row_count"))
+        counted = counted.select(F.lit(status).alias("table_name"), "row_count")
+        found = counted if found is None else found.unionAll(counted)
+    logged = log.read().groupBy(F.col("TABLE_NAME").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("files"), F.bool_or("PROCESSED_FLAG").alias("processed")
+    )
+    return found.join(logged, "table_name")
 
 
 def checks():
@@ -221,8 +249,13 @@ def checks():
             "SELECT event_id AS id, NULL::VARCHAR AS gap, (props::JSON ->> 'k')::BIGINT AS k "
             "FROM events",
         ),
-        "land_raw_files": (
-            land_raw_files,
+        "stored_file_log": (
+            stored_file_log,
+            "SELECT o_orderstatus AS table_name, count(*) AS row_count, 2::BIGINT AS files, "
+            "false AS processed FROM orders GROUP BY o_orderstatus",
+        ),
+        "land_files": (
+            landed_files,
             f'SELECT {json_sql(COLUMNS["customer"])} AS "SRC" FROM customer',
         ),
     }

@@ -33,6 +33,7 @@ from tidemark.operators.changes import region_filter, region_semi_filter
 from tidemark.operators.transforms import void_to_string, with_region_tag
 from tidemark.sources.files import read_documents
 
+# Driver classes and connector names as their makers publish them.
 JDBC_DRIVERS = {
     "AZURESQL": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "POSTGRESQL": "org.postgresql.Driver",
