@@ -11,21 +11,28 @@ from checks.derived import (
     perturbed_customers,
     table,
 )
-from tidemark.operators.changes import new_rows, region_filter, region_semi_filter
+from tidemark.operators.changes import DiffLimits, new_rows, region_filter, region_semi_filter
 from tidemark.operators.transforms import with_row_hash
-from tidemark.session import BROADCAST_ROWS
 
 
-def incremental_diff(spark, sf_dir, broadcast_rows=None):
+# Every size counts as too large, so that whole tables take the path of huge ones.
+HUGE = DiffLimits(broadcast=0, shuffle=0, hot=1000)
+
+
+def incremental_diff(spark, sf_dir, limits=DiffLimits()):
     current = with_row_hash(table(spark, sf_dir, "customer"))
     previous = with_row_hash(perturbed_customers(spark, sf_dir))
-    limit = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
-    return new_rows(current, previous, **limit)
+    return new_rows(current, previous, limits)
+
+
+def incremental_diff_joined(spark, sf_dir):
+    """The same by the path for moderate sizes."""
+    return incremental_diff(spark, sf_dir, DiffLimits(broadcast=0))
 
 
 def incremental_diff_shuffled(spark, sf_dir):
-    """The same by the path taken when the previous copy is too large to broadcast."""
-    return incremental_diff(spark, sf_dir, broadcast_rows=0)
+    """The same by the path for huge tables."""
+    return incremental_diff(spark, sf_dir, HUGE)
 
 
 # Independent of the hash rule: rows are compared column by column.
@@ -36,7 +43,7 @@ WHERE NOT EXISTS (SELECT 1 FROM before b WHERE {
     " AND ".join(f"b.{c} IS NOT DISTINCT FROM c.{c}" for c in COLUMNS["customer"])})"""
 
 
-def _lineitem_diff(spark, sf_dir, broadcast_rows):
+def _lineitem_diff(spark, sf_dir, limits):
     """Discounts changed on some lines, others added."""
     now = table(spark, sf_dir, "lineitem")
     before = now.where("l_orderkey % 9 <> 0").withColumn(
@@ -45,15 +52,15 @@ def _lineitem_diff(spark, sf_dir, broadcast_rows):
             F.col("l_discount")
         ),
     )
-    return new_rows(with_row_hash(now), with_row_hash(before), broadcast_rows).drop("hash")
+    return new_rows(with_row_hash(now), with_row_hash(before), limits).drop("hash")
 
 
 def incremental_diff_lineitem(spark, sf_dir):
-    return _lineitem_diff(spark, sf_dir, BROADCAST_ROWS)
+    return _lineitem_diff(spark, sf_dir, DiffLimits())
 
 
 def incremental_diff_lineitem_shuffled(spark, sf_dir):
-    return _lineitem_diff(spark, sf_dir, 0)
+    return _lineitem_diff(spark, sf_dir, HUGE)
 
 
 LINEITEM_DIFF_SQL = f"""
@@ -72,9 +79,7 @@ def incremental_diff_duplicates(spark, sf_dir):
     """Few distinct rows, each copied very often: all copies of a new row survive."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
     previous = flags.where("l_returnflag <> 'R'")
-    return new_rows(
-        with_row_hash(flags), with_row_hash(previous), broadcast_rows=0, hot_copies=1000
-    ).drop("hash")
+    return new_rows(with_row_hash(flags), with_row_hash(previous), HUGE).drop("hash")
 
 
 def incremental_diff_micros(spark, sf_dir):
@@ -131,6 +136,7 @@ def region_semi_shuffled(spark, sf_dir):
 def checks():
     return {
         "incremental_diff": (incremental_diff, INCREMENTAL_DIFF_SQL),
+        "incremental_diff_joined": (incremental_diff_joined, INCREMENTAL_DIFF_SQL),
         "incremental_diff_shuffled": (incremental_diff_shuffled, INCREMENTAL_DIFF_SQL),
         "incremental_diff_lineitem": (incremental_diff_lineitem, LINEITEM_DIFF_SQL),
         "incremental_diff_lineitem_shuffled": (

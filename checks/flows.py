@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from checks.changes import HUGE
 from checks.derived import (
     COLUMNS,
     PERTURBED_CUSTOMERS_SQL,
@@ -33,6 +34,7 @@ from tidemark.model import (
     ObjectSpec,
     Run,
 )
+from tidemark.operators.changes import DiffLimits
 from tidemark.operators.checkpoint import specs_of
 from tidemark.plans import flows
 from tidemark.plans.lander import land_pending
@@ -79,32 +81,30 @@ def full_extract_replace(spark, sf_dir):
     return stores.lakehouse("part").read()
 
 
-def _two_loads(spark, sf_dir, broadcast_rows, repeat=False):
+def _two_loads(spark, sf_dir, limits=DiffLimits(), repeat=False):
     """An earlier copy of the customers, then the customers an hour later."""
     spec = _spec("customer", FULL_EXTRACT_INCR)
     first = _stores(spark)
     flows.full_extract_incr(perturbed_customers(spark, sf_dir), spec, first)
     second = _stores(spark, first.run.root, hours=1)
     for _ in range(2 if repeat else 1):
-        flows.full_extract_incr(
-            table(spark, sf_dir, "customer"), spec, second, broadcast_rows=broadcast_rows
-        )
+        flows.full_extract_incr(table(spark, sf_dir, "customer"), spec, second, limits)
     return second
 
 
 def full_extract_incr(spark, sf_dir):
-    stores = _two_loads(spark, sf_dir, 500_000)
+    stores = _two_loads(spark, sf_dir)
     return read_load(spark, stores.run, "customer", INCR_LOAD)
 
 
 def full_extract_incr_shuffled(spark, sf_dir):
     """Increment of an hour run twice, by the path for large tables."""
-    stores = _two_loads(spark, sf_dir, 0, repeat=True)
+    stores = _two_loads(spark, sf_dir, HUGE, repeat=True)
     return read_load(spark, stores.run, "customer", INCR_LOAD)
 
 
 def full_extract_incr_snapshot(spark, sf_dir):
-    stores = _two_loads(spark, sf_dir, 500_000)
+    stores = _two_loads(spark, sf_dir)
     return VersionedTable(spark, stores.run.root, "customer").read()
 
 

@@ -3,22 +3,27 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows_of
-from tidemark.operators.changes import compared_hashes, market_regions, new_rows
+from tidemark.operators.changes import DiffLimits, compared_hashes, market_regions, new_rows
 from tidemark.operators.transforms import with_row_hash
 
-PATHS = [dict(), dict(broadcast_rows=0), dict(broadcast_rows=0, hot_copies=1)]
+PATHS = [
+    DiffLimits(),
+    DiffLimits(broadcast=0),
+    DiffLimits(broadcast=0, shuffle=0),
+    DiffLimits(broadcast=0, shuffle=0, hot=1),
+]
 
 
 @pytest.mark.parametrize("path", PATHS)
 def test_same_copy_gives_nothing(spark, customers, path):
     rows = with_row_hash(customers)
-    assert new_rows(rows, rows, **path).isEmpty()
+    assert new_rows(rows, rows, path).isEmpty()
 
 
 @pytest.mark.parametrize("path", PATHS)
 def test_empty_previous_gives_all(spark, customers, path):
     rows = with_row_hash(customers)
-    assert rows_of(new_rows(rows, rows.limit(0), **path).drop("hash")) == rows_of(customers)
+    assert rows_of(new_rows(rows, rows.limit(0), path).drop("hash")) == rows_of(customers)
 
 
 def test_no_previous_needs_no_shuffle(spark, customers):
@@ -38,14 +43,14 @@ def test_hash_comes_first(spark, customers):
 @given(
     now=st.lists(st.integers(0, 6), max_size=40),
     before=st.lists(st.integers(0, 6), max_size=40),
-    path=st.sampled_from(PATHS + [dict(broadcast_rows=2, hot_copies=3)]),
+    path=st.sampled_from(PATHS + [DiffLimits(broadcast=2, shuffle=0, hot=3)]),
 )
 def test_bag_difference(spark, now, before, path):
     """Every path keeps all copies of exactly the values the previous copy lacks."""
     schema = "v int"
     current = with_row_hash(spark.createDataFrame([(v,) for v in now], schema))
     previous = with_row_hash(spark.createDataFrame([(v,) for v in before], schema))
-    found = sorted(r.v for r in new_rows(current, previous, **path).collect())
+    found = sorted(r.v for r in new_rows(current, previous, path).collect())
     assert found == sorted(v for v in now if v not in set(before))
 
 
@@ -55,7 +60,7 @@ def test_a_third_of_all_rows_alike(spark):
         spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("v"))
     )
     previous = with_row_hash(spark.range(100, 200).select(F.col("id").alias("v")))
-    found = new_rows(current, previous, broadcast_rows=0, hot_copies=5_000)
+    found = new_rows(current, previous, DiffLimits(broadcast=0, shuffle=0, hot=5_000))
     assert found.where("v = -1").count() == 10_000
     assert found.count() == 30_000 - 67
     plan = plan_of(found)

@@ -15,6 +15,7 @@ from tidemark.model import (
     ObjectSpec,
     Run,
 )
+from tidemark.operators.changes import DiffLimits
 from tidemark.operators.checkpoint import specs_of
 from tidemark.plans import flows
 from tidemark.plans.flows import Stores
@@ -37,11 +38,13 @@ def later(spark, run, hours):
     return Stores.parquet(spark, Run(run.run_ts + timedelta(hours=hours), run.root))
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_unchanged_source_gives_an_empty_increment(spark, run, stores, customers, broadcast_rows):
-    flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), stores, broadcast_rows)
+@pytest.mark.parametrize(
+    "limits", [DiffLimits(), DiffLimits(broadcast=0), DiffLimits(broadcast=0, shuffle=0)]
+)
+def test_unchanged_source_gives_an_empty_increment(spark, run, stores, customers, limits):
+    flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), stores, limits)
     second = later(spark, run, 1)
-    flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), second, broadcast_rows)
+    flows.full_extract_incr(customers, spec(FULL_EXTRACT_INCR), second, limits)
     assert read_load(spark, second.run, "customer", INCR_LOAD).isEmpty()
 
 

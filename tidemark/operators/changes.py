@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,8 +13,18 @@ from tidemark.model import HASH, MARKET_REGIONS
 from tidemark.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 
-# A row copied more often than this is taken out of the shuffle of its copies.
-HOT_COPIES = 1_000_000
+@dataclass(frozen=True)
+class DiffLimits:
+    """Sizes, in rows, at which ``new_rows`` changes its way of working.
+
+    ``broadcast``: a side of at most so many hashes may be sent to every task.
+    ``shuffle``: up to so many rows on either side, rows are shuffled as they are.
+    ``hot``: rows with more copies than this stay out of larger shuffles.
+    """
+
+    broadcast: int = BROADCAST_ROWS
+    shuffle: int = 20_000_000
+    hot: int = 1_000_000
 
 
 def compared_hashes(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -39,41 +50,44 @@ def new_hashes(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def new_rows(
-    current: DataFrame,
-    previous: DataFrame | None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_copies: int = HOT_COPIES,
+    current: DataFrame, previous: DataFrame | None, limits: DiffLimits = DiffLimits()
 ) -> DataFrame:
     """Rows of ``current`` whose hash is not in ``previous``, copies included.
 
     * No previous copy: everything is new.
-    * A previous copy of at most ``broadcast_rows`` rows: its hashes are sent to
-      every task and ``current`` is read once, unshuffled.
+    * A previous copy small enough to broadcast: its hashes are sent to every task
+      and ``current`` is read once, unshuffled.
+    * Both sides of moderate size: one shuffle join.
     * Else the new hashes are worked out on the narrow hash column alone and
       stored, and the wide rows are filtered by them: unshuffled when few hashes
-      are new, as in most runs, by a shuffle join otherwise. Rows with more than
-      ``hot_copies`` copies stay out of that shuffle.
+      are new, as in most runs, by a shuffle join otherwise. Rows with very many
+      copies stay out of that shuffle.
 
-    The last case reads ``current`` more than once: pass the written snapshot
-    rather than a live source.
+    Rows are counted first, and the last case reads ``current`` again: pass the
+    written snapshot rather than a live source.
     """
     columns = [HASH] + [c for c in current.columns if c != HASH]
     if previous is None:
         return current.select(*map(ref, columns))
     known = previous.select(HASH)
-    if known.count() <= broadcast_rows:
+    known_rows = known.count()
+    if known_rows <= limits.broadcast:
         found = current.join(F.broadcast(known.distinct()), HASH, "left_anti")
     else:
-        found = _rows_of_new_hashes(current, known, broadcast_rows, hot_copies)
+        rows = current.count()
+        if max(rows, known_rows) <= limits.shuffle:
+            found = current.join(known, HASH, "left_anti")
+        else:
+            found = _rows_of_new_hashes(current, rows, known, limits)
     return found.select(*map(ref, columns))
 
 
 def _rows_of_new_hashes(
-    current: DataFrame, known: DataFrame, broadcast_rows: int, hot_copies: int
+    current: DataFrame, rows: int, known: DataFrame, limits: DiffLimits
 ) -> DataFrame:
     # With n rows, at most n / t hashes have more than t copies. Raising t with n
     # therefore bounds the number of hot hashes, whatever the data.
-    threshold = max(hot_copies, current.count() // BROADCAST_ROWS)
+    threshold = max(limits.hot, rows // BROADCAST_ROWS)
     hot = F.col("copies") > threshold
     compared = stage(
         compared_hashes(current, known).where(~F.col("known") | hot), "compared-hashes"
@@ -82,7 +96,7 @@ def _rows_of_new_hashes(
         F.count_if(~F.col("known")).alias("fresh"), F.count_if(hot).alias("hot")
     ).first()
     fresh = compared.where(~F.col("known"))
-    if totals.fresh <= broadcast_rows:
+    if totals.fresh <= limits.broadcast:
         return current.join(F.broadcast(fresh.select(HASH)), HASH, "left_semi")
     if totals.hot == 0:
         return current.join(fresh.select(HASH), HASH, "left_semi")

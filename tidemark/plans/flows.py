@@ -25,7 +25,7 @@ from tidemark.model import (
     ObjectSpec,
     Run,
 )
-from tidemark.operators.changes import new_rows
+from tidemark.operators.changes import DiffLimits, new_rows
 from tidemark.operators.checkpoint import observe_checkpoint, observed_value
 from tidemark.operators.config import active_objects, object_specs
 from tidemark.operators.transforms import (
@@ -37,7 +37,6 @@ from tidemark.operators.transforms import (
     with_row_hash,
 )
 from tidemark.plans.lander import land_pending
-from tidemark.session import BROADCAST_ROWS
 from tidemark.sources.readers import Loader, read_source
 from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
 from tidemark.tables.hours import write_load
@@ -126,7 +125,7 @@ def full_extract_incr(
     source: DataFrame,
     spec: ObjectSpec,
     stores: Stores,
-    broadcast_rows: int = BROADCAST_ROWS,
+    limits: DiffLimits = DiffLimits(),
 ) -> Outcome:
     """Keep a full snapshot and, of it, the rows the last one lacked.
 
@@ -145,7 +144,7 @@ def full_extract_incr(
     base = table.before(run.hour)
     comparable = base is not None and base.hash_version == HASH_VERSION
     previous = table.read(base.snapshot_id) if comparable else None
-    fresh = new_rows(current, previous, broadcast_rows)
+    fresh = new_rows(current, previous, limits)
     if previous is not None:
         # Few rows out of a long scan: gather them, or each scan task leaves a crumb.
         fresh = fresh.hint("rebalance")
