@@ -61,9 +61,7 @@ def next_checkpoint_empty(spark, sf_dir):
 def observed_checkpoint(spark, sf_dir):
     """The maximum and count seen while the rows are written somewhere else."""
     specs = specs_of("o_orderdate::timestamp::>|o_orderkey::numeric::>", "1990-01-01 00:00:00|0")
-    rows, seen = cp.observe_checkpoint(
-        table(spark, sf_dir, "orders"), [s.field for s in specs]
-    )
+    rows, seen = cp.observe_checkpoint(table(spark, sf_dir, "orders"), specs)
     rows.write.parquet(fresh_folder(spark, "observed"))
     checkpoint, count = cp.observed_value(seen, specs)
     return spark.createDataFrame([(checkpoint, count)], "checkpoint string, row_count bigint")

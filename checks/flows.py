@@ -19,6 +19,7 @@ from checks.derived import (
     table,
 )
 from tidemark.functions.predicates import checkpoint_predicate
+from tidemark.functions.rows import ntz
 from tidemark.model import (
     CASSANDRA,
     FULL_EXTRACT,
@@ -163,6 +164,38 @@ SELECT (SELECT count(*) FROM first) + (SELECT count(*) FROM second) AS row_count
   CASE WHEN (SELECT count(*) FROM second) > 0 THEN 2 ELSE 1 END AS moves"""
 
 
+def key_incr_bucketed(spark, sf_dir):
+    """A source in year and month buckets, read three times as it grows.
+
+    Each read starts where the one before ended; together they hold every row once.
+    """
+    path, stores = fresh_folder(spark, "buckets"), _stores(spark)
+    table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_orderdate", "year(o_orderdate) AS year", "month(o_orderdate) AS month"
+    ).write.partitionBy("year", "month").parquet(f"{path}/orders")
+    stored = parquet_loader(path, "")
+    definition = "year::numeric::>=|month::numeric::>=|o_orderdate::timestamp::>"
+    values = ["1994-12-31 00:00:00"]
+    for limit in ("1997-12-20", "1999-02-10", "2002-01-01"):
+        spec = ObjectSpec(
+            "ks",
+            "orders",
+            "orders",
+            CASSANDRA,
+            KEY_INCR_EXTRACT,
+            checkpoints=specs_of(definition, values[-1]),
+        )
+
+        def grown(spark, spec, limit=limit):
+            return stored(spark, spec).where(F.col("o_orderdate") < ntz(limit))
+
+        rows = read_source(spark, spec, {CASSANDRA: grown}, stores.run)
+        flows.key_incr_extract(rows, spec, stores, lambda _, value: values.append(value))
+    return read_load(spark, stores.run, "orders", KEY_INCR_LOAD).select(
+        "o_orderkey", "o_orderdate", F.lit(values[-1]).alias("checkpoint")
+    )
+
+
 def read_source_documents(spark, sf_dir):
     """A document collection: void fields made text, region tag taken from the target."""
     path = fresh_folder(spark, "collections")
@@ -333,6 +366,11 @@ def checks():
             "WHERE ts > TIMESTAMP '2024-01-12'",
         ),
         "key_incr_checkpoint": (key_incr_checkpoint, KEY_CHECKPOINT_SQL),
+        "key_incr_bucketed": (
+            key_incr_bucketed,
+            "SELECT o_orderkey, o_orderdate, (SELECT max(o_orderdate)::VARCHAR FROM orders) "
+            "AS checkpoint FROM orders",
+        ),
         "read_source_documents": (
             read_source_documents,
             "SELECT c_custkey, c_name, NULL::VARCHAR AS gap, 'EU' AS \"ITB_DB_REGION\" "

@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tidemark.functions.predicates import bucketed_checkpoint_predicate, checkpoint_predicate
 from tidemark.model import FILE_INGEST_LOG, PIPELINE_CONFIG
 from tidemark.operators import checkpoint as cp, config as cf
 
@@ -111,10 +112,20 @@ def test_next_checkpoint_is_one_aggregation(spark, sf):
 
 def test_checkpoint_round_trip(spark, sf):
     """What a run stores is what the next run reads from: nothing is read twice."""
-    from tidemark.functions.predicates import checkpoint_predicate
-
     events = spark.read.parquet(f"{sf}/events.parquet")
     half = events.where(F.col("event_id") < 500)
     stored = cp.next_checkpoint(half, ["ts"]).first().checkpoint
     rest = events.where(checkpoint_predicate(cp.specs_of("ts::timestamp::>", stored)))
     assert rest.count() + half.count() == events.count()
+
+
+def test_two_bucket_checkpoint(spark, tmp_path):
+    """Only year and month are known: the greatest pair is stored as yyyy-mm."""
+    rows = spark.createDataFrame([(2023, 12), (2024, 2), (2024, 1)], "y int, m int")
+    specs = cp.specs_of("y::numeric::>=|m::numeric::>", "2023-01")
+    watched, seen = cp.observe_checkpoint(rows, specs, bucketed=True)
+    watched.write.parquet(str(tmp_path / "x"))
+    stored, count = cp.observed_value(seen, specs)
+    assert (stored, count) == ("2024-02", 3)
+    again = rows.where(bucketed_checkpoint_predicate(cp.specs_of("y::numeric::>=|m::numeric::>", stored)))
+    assert again.isEmpty()

@@ -111,13 +111,27 @@ def next_checkpoint(
 
 
 def observe_checkpoint(
-    df: DataFrame, fields: Sequence[str], precision: str | None = None
+    df: DataFrame,
+    specs: Sequence[CheckpointSpec],
+    precision: str | None = None,
+    bucketed: bool = False,
 ) -> tuple[DataFrame, Observation]:
-    """Collect the next checkpoint while ``df`` is being written: no extra job."""
+    """Collect the next checkpoint while ``df`` is being written: no extra job.
+
+    With ``bucketed`` the first two fields are year and month buckets and what is
+    kept is one value: the third field's maximum, or the greatest ``yyyy-mm``
+    where there is no third field.
+    """
     seen = Observation()
-    metrics = [
-        _greatest_text(df, f, precision).alias(f"top_{i}") for i, f in enumerate(fields)
-    ]
+    if bucketed and len(specs) > 1:
+        if len(specs) > 2:
+            tops = [_greatest_text(df, specs[2].field, precision)]
+        else:
+            year, month = (ref(s.field).cast("string") for s in specs)
+            tops = [F.max(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0")))]
+    else:
+        tops = [_greatest_text(df, s.field, precision) for s in specs]
+    metrics = [top.alias(f"top_{i}") for i, top in enumerate(tops)]
     return df.observe(seen, F.count(F.lit(1)).alias("row_count"), *metrics), seen
 
 
@@ -130,7 +144,7 @@ def observed_value(seen: Observation, specs: Sequence[CheckpointSpec]) -> tuple[
     rows = int(got["row_count"])
     if rows == 0:
         return None, 0
-    tops = [got.get(f"top_{i}") for i in range(len(specs))]
+    tops = [got[f"top_{i}"] for i in range(len(got) - 1)]
     parts = [s.value if t is None else t for t, s in zip(tops, specs)]
     if any(p is None for p in parts):
         return None, rows

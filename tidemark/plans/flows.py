@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.names import database_name, target_name_of
 from tidemark.model import (
     BRONZE,
+    CASSANDRA,
     FLATTEN_LAND,
     FULL_EXTRACT,
     FULL_EXTRACT_INCR,
@@ -175,8 +176,8 @@ def key_incr_extract(
         rename_reserved(source), run.run_ts, truncate=spec.store_type.lower() != STORE_REPLACE
     )
     hashed = with_row_hash(stamped)
-    fields = [c.field for c in spec.checkpoints]
-    watched, seen = observe_checkpoint(hashed, fields)
+    bucketed = spec.source_system.upper() == CASSANDRA
+    watched, seen = observe_checkpoint(hashed, spec.checkpoints, bucketed=bucketed)
     slice_key = "|".join(f"{c.field}{c.op}{c.value}" for c in spec.checkpoints)
 
     lake = spec.store_type.lower() == STORE_REPLACE
