@@ -86,8 +86,8 @@ def append_after_rollback(spark, sf_dir):
 def read_old_snapshot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     target = _target(spark, "orders")
-    first = target.replace(orders.where("o_orderkey < 5000"))
-    target.replace(orders)
+    first = target.replace(orders)
+    target.replace(orders.withColumn("o_totalprice", F.lit(0.0)))
     return target.read(first.snapshot_id)
 
 
@@ -145,7 +145,7 @@ def checks():
             append_after_rollback,
             "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'P')",
         ),
-        "read_snapshot": (read_old_snapshot, "SELECT * FROM orders WHERE o_orderkey < 5000"),
+        "read_snapshot": (read_old_snapshot, "SELECT * FROM orders"),
         "snapshot_history": (
             snapshot_history,
             "SELECT o_orderstatus AS table_name, 1::BIGINT AS current_id, 'rollback' AS operation, "

@@ -279,7 +279,7 @@ def test_tables_are_logged_independently(spark, run, customers):
     flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "a"), one)
     flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "b"), two)
     flows.full_extract(customers.limit(5), spec(FULL_EXTRACT, "c"), one)
-    assert one.log.tables() == ["a", "b", "c"]
+    assert [p.name for p in one.log.parts()] == ["a", "b", "c"]
     assert {r.TABLE_NAME for r in two.log.read().collect()} == {"a", "b", "c"}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,8 +16,7 @@ from tidemark.operators.filelog import (
     to_log_rows,
     unlogged,
 )
-from tidemark.session import few_rows
-from tidemark.sources.files import path_exists
+from tidemark.sources.files import path_exists, read_files
 from tidemark.tables.snapshots import VersionedTable
 
 
@@ -34,17 +34,24 @@ class FileLog:
         return VersionedTable(self.spark, self.root, table)
 
     def read(self, *tables: str) -> DataFrame:
-        """Log rows of the given tables, of all logged tables when none is given."""
-        found = few_rows(self.spark, [], FILE_INGEST_LOG)
-        for table in tables or self.tables():
-            found = found.unionByName(self.part(table).read_or_empty(FILE_INGEST_LOG))
-        return found
+        """Log rows of the given tables, of all logged tables when none is given.
 
-    def tables(self) -> list[str]:
+        One scan over the folders of all parts, however many tables there are.
+        """
+        parts = [self.part(t) for t in tables] or self.parts()
+        folders = [f for p in parts for f in p.folders()]
+        return read_files(self.spark, folders, FILE_INGEST_LOG)
+
+    def parts(self) -> list[VersionedTable]:
+        """All logged tables, their snapshot logs read in one job."""
         if not path_exists(self.spark, self.root):
             return []
         logs = self.spark.read.schema(SNAPSHOT_LOG).parquet(f"{self.root}/*/_snapshot_log")
-        return sorted(r.table_name for r in logs.select("table_name").distinct().collect())
+        rows = sorted(logs.collect(), key=lambda r: (r.table_name, r.version))
+        return [
+            VersionedTable(self.spark, self.root, name, list(history))
+            for name, history in groupby(rows, key=lambda r: r.table_name)
+        ]
 
     def record(self, run: Run, table: str, folder: str) -> None:
         """Log the files of a written folder.

@@ -83,12 +83,14 @@ def _live(rows: list[Row]) -> Row | None:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    def __init__(
+        self, spark: SparkSession, root: str, name: str, history: list[Row] | None = None
+    ):
         self.spark, self.name = spark, name
         self.path = f"{root.rstrip('/')}/{name}"
         self.log_path = f"{self.path}/_snapshot_log"
         self.data_path = f"{self.path}/full_load"
-        self._history: list[Row] | None = None
+        self._history = history
 
     # -- the snapshot log -------------------------------------------------
 
@@ -241,6 +243,11 @@ class VersionedTable:
             snapshot_id = row.parent_id if row.operation == APPEND else None
         return found[::-1]
 
+    def folders(self) -> list[str]:
+        """The data folders of the current snapshot."""
+        current = self.current()
+        return [] if current is None else self._folders(current.snapshot_id)
+
     def read(self, snapshot_id: int | None = None) -> DataFrame:
         """The current snapshot, or an earlier one by id."""
         row = self.current() if snapshot_id is None else self._record(snapshot_id)
