@@ -30,7 +30,6 @@ from tidemark.operators.changes import DiffLimits, new_rows
 from tidemark.operators.checkpoint import observe_checkpoint, observed_value
 from tidemark.operators.config import active_objects, object_specs
 from tidemark.operators.transforms import (
-    drop_technical,
     lowercase_columns,
     normalise_timestamps,
     rename_reserved,
@@ -172,26 +171,25 @@ def key_incr_extract(
     and a repeat in a later hour empties the folder of the earlier try.
     """
     run = stores.run
-    stamped = with_ingest_ts(
-        rename_reserved(source), run.run_ts, truncate=spec.store_type.lower() != STORE_REPLACE
-    )
-    hashed = with_row_hash(stamped)
+    lake = spec.store_type.lower() == STORE_REPLACE
+    rows = with_ingest_ts(rename_reserved(source), run.run_ts, truncate=not lake)
+    if not lake:
+        # Lakehouse rows carry no hash, so none is computed for them.
+        rows = with_row_hash(rows)
     bucketed = spec.source_system.upper() == CASSANDRA
-    watched, seen = observe_checkpoint(hashed, spec.checkpoints, bucketed=bucketed)
+    watched, seen = observe_checkpoint(rows, spec.checkpoints, bucketed=bucketed)
     slice_key = "|".join(f"{c.field}{c.op}{c.value}" for c in spec.checkpoints)
 
-    lake = spec.store_type.lower() == STORE_REPLACE
     if lake:
         table = stores.lakehouse(spec.target_table)
         key = hashlib.md5(slice_key.encode()).hexdigest()
-        rows = _for_lakehouse(drop_technical(watched))
-        table.append(rows, run.hour, slice_key=key)
+        table.append(_for_lakehouse(watched), run.hour, slice_key=key)
         where = table.path
     else:
         where = write_load(watched, run, spec.target_table, KEY_INCR_LOAD, slice_key)
         stores.log.record(run, spec.target_table, where)
         for earlier in stores.log.same_leaf(run, spec.target_table, where):
-            write_parquet(hashed.limit(0), earlier)
+            write_parquet(rows.limit(0), earlier)
             stores.log.record(run, spec.target_table, earlier)
 
     checkpoint, rows_seen = observed_value(seen, spec.checkpoints)
