@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import connect, differences
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# Queries on texts have tests of their own, as some have no SQL.
+QUERIES = {name: query for name, (query, _) in entry.registry().items()}
+ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,7 @@ def test_query(spark, sf, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 def test_entry(spark):
