@@ -61,9 +61,9 @@ def _op8_sql() -> str:
     WITH base AS (
         SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
                CASE WHEN lang IN ({known}) THEN lang ELSE '' END AS language,
-               list_filter(regexp_split_to_array(coalesce(text, ''), '{gap}'), x -> x <> '') AS w,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '{gap}'), lambda x: x <> '') AS w,
                list_filter(string_split(coalesce(text, ''), chr(10)),
-                           x -> regexp_replace(x, '{gap}', '', 'g') <> '') AS lines,
+                           lambda x: regexp_replace(x, '{gap}', '', 'g') <> '') AS lines,
                CASE {listed} ELSE {lists['']} END AS listed
         FROM documents),
     parts AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM base),
@@ -79,7 +79,7 @@ def _op8_sql() -> str:
                length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
                len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                coalesce(covered.n, 0) AS n_repeat_words,
-               list_transform(listed, x -> len(list_filter(w, y -> lower(y) = x))) AS per_word,
+               list_transform(listed, lambda x: len(list_filter(w, lambda y: lower(y) = x))) AS per_word,
                [{', '.join(classes)}] AS per_class
         FROM base LEFT JOIN covered USING (rid)),
     shaped AS (
