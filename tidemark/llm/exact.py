@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.text import keep_rows, whole_text
+from tidemark.llm.text import keep_rows, single_rows, whole_text
 from tidemark.session import stage
 
 #: Keys in a bucket before it is split.
@@ -224,14 +224,5 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     groups = stage(exact_groups(docs, doc_id, text), "exact-decisions")
     lost = groups.where("NOT kept AND NOT doc_id <=> keep_id")
     rest = keep_rows(docs, lost, doc_id, text)
-    twins = groups.where("NOT kept AND doc_id <=> keep_id").select("doc_id", "key")
-    if twins.isEmpty():
-        return rest
-    once = twins.distinct()
-    single = keep_rows(rest, once, doc_id, text)
-    repeated = rest.join(
-        once.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")),
-        F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text)) == F.col("__key")),
-    )
-    names = [F.col(f"`{n}`") for n in docs.columns]
-    return single.unionByName(repeated.dropDuplicates(["__id", "__key"]).select(*names))
+    twins = groups.where("NOT kept AND doc_id <=> keep_id").select("doc_id", "key").distinct()
+    return single_rows(rest, stage(twins, "exact-twins"), doc_id, text)

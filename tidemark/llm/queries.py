@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, quality
+from tidemark.llm import exact, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,9 +100,83 @@ def _op8_sql() -> str:
     FROM judged"""
 
 
+def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(_documents(spark, sf_dir))
+    text = F.lower(F.lpad(F.hex("print"), 16, "0"))
+    return groups.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP4_SQL = f"""
+    WITH sizes AS (
+        SELECT doc_id, source, coalesce(text, '') AS t,
+               len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS size
+        FROM documents),
+    sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+               (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+        FROM sizes GROUP BY source),
+    s1 AS (
+        SELECT *, ((sum(source_size) OVER ())::DOUBLE - coalesce((sum(3 * source_size) OVER (
+                      ORDER BY 3 * source_size / weight, weight ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::DOUBLE, 0))
+                  / (sum(weight) OVER (ORDER BY 3 * source_size / weight, weight
+                                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM sources),
+    targets AS (
+        SELECT source, source_size,
+               CASE WHEN 3 * source_size <= weight * level THEN (3 * source_size)::DOUBLE
+                    ELSE weight * max(CASE WHEN 3 * source_size > weight * level THEN level END) OVER () END AS target
+        FROM s1),
+    classes AS (
+        SELECT s.source, length(bin(size)) AS class, sum(size)::BIGINT AS words, any_value(source_size) AS source_size,
+               any_value(target) AS target, floor(any_value(target) / any_value(source_size)) AS whole
+        FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source WHERE size > 0 GROUP BY s.source, length(bin(size))),
+    c1 AS (SELECT *, target - whole * source_size AS rest, words * class AS pull FROM classes),
+    c2 AS (
+        SELECT *, (rest - coalesce((sum(words) OVER (PARTITION BY source ORDER BY words / pull, pull
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::DOUBLE, 0))
+                  / (sum(pull) OVER (PARTITION BY source ORDER BY words / pull, pull
+                                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM c1),
+    c3 AS (
+        SELECT *, CASE WHEN words <= pull * level THEN words::DOUBLE
+                       ELSE pull * max(CASE WHEN words > pull * level THEN level END) OVER (PARTITION BY source) END
+                  / words AS chance
+        FROM c2),
+    numbered AS (
+        SELECT s.*, class, whole, rest, chance,
+               (('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE)
+                   / 4503599627370496.0::DOUBLE AS u
+        FROM sizes s JOIN c3 ON s.source IS NOT DISTINCT FROM c3.source AND length(bin(size)) = class WHERE size > 0),
+    oddly AS (SELECT *, (u / (1 - u)) / (chance / (1 - chance)) AS odds FROM numbered),
+    ranked AS (
+        SELECT *, CASE WHEN chance >= 1 THEN 0.0::DOUBLE WHEN chance > 0 THEN odds / (1 + odds) END AS rank FROM oddly),
+    run AS (
+        SELECT *, rank IS NOT NULL AND (sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id NULLS FIRST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE <= rest AS chosen
+        FROM ranked),
+    gaps AS (
+        SELECT *, rest - coalesce((sum(CASE WHEN chosen THEN size END) OVER (PARTITION BY source))::DOUBLE, 0) AS gap FROM run),
+    fit AS (
+        SELECT *, row_number() OVER (PARTITION BY source, NOT chosen AND rank IS NOT NULL AND abs(gap - size) < gap
+                                     ORDER BY abs(gap - size), rank, doc_id NULLS FIRST) = 1
+                  AND NOT chosen AND rank IS NOT NULL AND abs(gap - size) < gap AS extra
+        FROM gaps),
+    copies AS (SELECT doc_id, source, size, whole + chosen::BIGINT + extra::BIGINT AS n FROM fit
+               UNION ALL SELECT doc_id, source, size, 0 FROM sizes WHERE size = 0)
+    SELECT doc_id, size::BIGINT AS size, source_size, target, (n * size)::BIGINT AS taken
+    FROM copies c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source"""
+
+
 def checks() -> dict[str, tuple[Query, str | None]]:
     """Name to query and SQL; None where SQL can't express it."""
     return {
+        "op4_pareto_mix": (op4_pareto_mix, OP4_SQL),
+        "op5_simhash_anchors": (op5_simhash_anchors, None),
         "op7_extendible_dedup": (op7_extendible_dedup, OP7_SQL),
         "op8_quality_divergence": (op8_quality_divergence, _op8_sql()),
     }

@@ -31,3 +31,15 @@ def keep_rows(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text:
     rows = docs.withColumn("__row_key", row_key(text))
     same = rows[doc_id].eqNullSafe(gone["__id"]) & (rows["__row_key"] == gone["__key"])
     return rows.join(gone, same, "left_anti").select(*[F.col(f"`{n}`") for n in names])
+
+
+def single_rows(docs: DataFrame, twins: DataFrame, doc_id: str = "doc_id", text: str = "text"):
+    """One row of each (doc_id, key) in the stored table ``twins``; all other rows as they are."""
+    if twins.isEmpty():
+        return docs
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    others = keep_rows(docs, twins, doc_id, text)
+    once = twins.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (row_key(text) == F.col("__key"))
+    repeated = docs.join(once, same).dropDuplicates(["__id", "__key"]).select(*names)
+    return others.unionByName(repeated)
