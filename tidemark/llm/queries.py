@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, mixing, quality, simhash
+from tidemark.llm import exact, mixing, quality, sentencepiece, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,9 +173,22 @@ OP4_SQL = f"""
     FROM copies c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source"""
 
 
+def op3_sentencepiece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece.encode_digests(_documents(spark, sf_dir), model)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def checks() -> dict[str, tuple[Query, str | None]]:
     """Name to query and SQL; None where SQL can't express it."""
     return {
+        "pipeline": (pipeline, None),
+        "op3_sentencepiece_table": (op3_sentencepiece_table, None),
         "op4_pareto_mix": (op4_pareto_mix, OP4_SQL),
         "op5_simhash_anchors": (op5_simhash_anchors, None),
         "op7_extendible_dedup": (op7_extendible_dedup, OP7_SQL),
