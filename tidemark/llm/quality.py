@@ -65,11 +65,10 @@ def _repeat_words(w: str) -> dict[str, Column]:
     def same(a, b):
         return a.bitwiseXOR(b).bitwiseAND(F.bitwise_not("mask")) == 0
 
-    def repeats(k, i):
-        before = (i > 0) & same(k, F.get("sorted", i - 1))
-        after = (i < F.size("sorted") - 1) & same(k, F.get("sorted", i + 1))
-        return before | after
+    def pair(a, b):
+        return F.when(same(a, b), F.array(a, b))
 
+    size_sorted = F.greatest(F.size("sorted") - 1, F.lit(0))
     def span(p, i):
         last = i == F.size("places") - 1
         return F.when(last, F.lit(3).cast("long")).otherwise(
@@ -81,7 +80,9 @@ def _repeat_words(w: str) -> dict[str, Column]:
         "starts": starts,
         "keys": F.transform("starts", key),
         "sorted": F.sort_array("keys"),
-        "hits": F.filter("sorted", repeats),
+        # Neighbours in the sorted keys; a key in two equal pairs counts once.
+        "pairs": F.zip_with(F.slice("sorted", 1, size_sorted), F.slice("sorted", 2, size_sorted), pair),
+        "hits": F.array_distinct(F.flatten(F.filter("pairs", F.isnotnull))),
         "places": F.sort_array(F.transform("hits", lambda k: k.bitwiseAND(F.col("mask")))),
         "n_repeat_words": F.aggregate(
             F.transform("places", span), F.lit(0).cast("long"), lambda a, b: a + b
@@ -95,7 +96,6 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     listed = F.create_map(
         *[c for k, v in COMMON_WORDS.items() for c in (F.lit(k), F.array(*map(F.lit, v)))]
     )
-    every = sorted({w for v in COMMON_WORDS.values() for w in v})
     language = (
         F.when(F.col(lang).cast("string").isin(known), F.col(lang).cast("string")).otherwise("")
         if lang in docs.columns
@@ -109,34 +109,42 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     rows = rows.withColumns({"lines": lines})
     for name, column in _repeat_words("w").items():
         rows = rows.withColumn(name, column)
-    common = F.filter("w", lambda x: F.lower(x).isin(every))
+    # Every word between spaces of its own, so that a listed word is found by its text.
+    spaced = F.concat(F.lit(" "), F.lower(F.array_join("w", "  ")), F.lit(" "))
     rows = rows.withColumns(
         {
             "n_words": F.size("w").cast("long"),
-            "length": F.length("t").cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-            "common": F.transform(common, F.lower),
+            "spaced": spaced,
             "listed": F.element_at(listed, F.col("language")),
-            **{f"without_{k}": F.length(_without(F.col("t"), m)).cast("long") for k, m in CLASSES.items()},
+            "left": F.col("t"),
+            "size": F.length("t").cast("long"),
         }
     )
-    per_word = F.transform(
-        "listed", lambda x: F.size(F.filter("common", lambda y: y == x)).cast("long")
-    )
-    per_class = [F.col("length") - F.col(f"without_{k}") for k in CLASSES]
-    rest = F.col("length") - sum(per_class[1:], per_class[0])
-    rows = rows.withColumn("per_word", per_word)
+    # Classes are taken out one after the other; the lengths give their counts.
+    for name, members in CLASSES.items():
+        rows = rows.withColumn("left", _without(F.col("left"), members))
+        rows = rows.withColumn("after", F.length("left").cast("long"))
+        rows = rows.withColumn(f"n_{name}", F.col("size") - F.col("after")).withColumn("size", F.col("after"))
+
+    def found(i):
+        word = F.concat(F.lit(" "), F.get("listed", F.lit(i)), F.lit(" "))
+        cut = F.octet_length("spaced") - F.octet_length(F.replace("spaced", word, F.lit("")))
+        return F.floor(cut / F.octet_length(word)).cast("long")
+
+    per_class = [F.col(f"n_{k}") for k in CLASSES]
+    rows = rows.withColumn("per_word", F.array(*map(found, range(len(COMMON_WORDS[""])))))
     used = F.aggregate("per_word", F.lit(0).cast("long"), lambda a, b: a + b)
     return rows.select(
         "doc_id",
         "key",
         "language",
         "n_words",
-        F.col("without_gap").alias("word_chars"),
-        (F.col("length") - F.col("without_symbol")).alias("n_symbols"),
+        (F.length("t") - F.col("n_gap")).alias("word_chars"),
+        F.col("n_symbol").alias("n_symbols"),
         "n_dup_lines",
         "n_repeat_words",
-        F.array(*per_class, rest).alias("classes"),
+        F.array(*per_class, F.col("size")).alias("classes"),
         F.concat("per_word", F.array(F.col("n_words") - used)).alias("commons"),
     )
 
