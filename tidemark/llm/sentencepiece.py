@@ -28,6 +28,7 @@ from tidemark.llm.text import whole_text
 MARK = "▁"
 #: Pieces up to this many characters are remembered, so many of them at most.
 _SHORT, _REMEMBERED, _PAIRS = 48, 250_000, 500_000
+_NEVER = float("-inf")
 _PIECE = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
@@ -36,10 +37,16 @@ class Encoder:
 
     def __init__(self, proto: bytes):
         self.model = model = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        self.scores, self.ids, names = {}, {}, []
+        self.scores, self.ids = {}, {}
+        self.plain: list[bytes] = []  # what an id decodes to, by id
         for i in range(model.vocab_size()):
             name = model.id_to_piece(i)
-            names.append(name)
+            self.plain.append(
+                bytes([int(name[3:5], 16)]) if model.is_byte(i)
+                else model.decode([i]).encode() if model.is_unknown(i)
+                else b"" if model.is_control(i)
+                else name.replace(MARK, " ").encode()
+            )
             if model.is_byte(i) or model.is_unknown(i) or model.is_control(i) or model.is_unused(i):
                 continue
             self.ids[name], self.scores[name] = i, model.get_score(i)
@@ -52,59 +59,55 @@ class Encoder:
             self.automaton.add_word(name, name)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
         self.known: dict[str, tuple[int, str, str]] = {}
 
     def merge(self, text: str, cut: int = 0) -> list[str]:
         """Merges by score, leftmost first among equals; stops at a merge across ``cut``."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                score = scores.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, k
-            if at < 0:
+        parts, get = list(text), self.scores.get
+        scores = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == _NEVER:
                 break
-            if cut:
-                left = sum(map(len, parts[: at + 1]))
-                if left == cut:
-                    return []
+            at = scores.index(best)
+            if at == cut - 1:
+                return []
+            if at < cut:
+                cut -= 1  # from here on counted in parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], _NEVER)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], _NEVER)
         return parts
 
     def stands_alone(self, token: str) -> bool:
-        found = self.alone.get(token)
-        if found is None:
-            found = self.alone[token] = self.merge(token) == [token]
-        return found
+        return self.merge(token) == [token]
 
     def compatible(self, a: str, b: str) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= _PAIRS:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merge(a + b, len(a)) == [a, b]
-        return found
+        return self.merge(a + b, len(a)) == [a, b]
 
     def tokens(self, piece: str) -> list[str]:
         """The tokens of a piece through the table of last tokens."""
         last: list[str | None] = [None] * (len(piece) + 1)
-        filled = 0
+        last[0] = ""  # what stands alone is compatible with nothing before it
+        filled, pairs = 0, self.pairs
         for end, token in self.automaton.iter(piece):
-            end += 1
-            while filled < end - 1:  # places where no token fits hold a lone character
+            while filled < end:  # places where no token fits hold a lone character
                 filled += 1
                 if last[filled] is None:
                     last[filled] = piece[filled - 1]
-            if last[end] is not None:
-                continue
-            start = end - len(token)
-            if start == 0:
-                if self.stands_alone(token):
+            end += 1
+            if last[end] is None:
+                before = last[end - len(token)]
+                fits = pairs.get((before, token))
+                if fits is None:
+                    if len(pairs) >= _PAIRS:
+                        pairs.clear()
+                    fits = pairs[before, token] = self.compatible(before, token) if before else self.stands_alone(token)
+                if fits:
                     last[end] = token
-            elif self.compatible(last[start], token):
-                last[end] = token
         for place in range(filled + 1, len(piece) + 1):
             if last[place] is None:
                 last[place] = piece[place - 1]
@@ -129,15 +132,8 @@ class Encoder:
     def _encoded(self, piece: str) -> tuple[int, str, str]:
         """(number of ids, ids joined by commas, decoded text) of a piece."""
         ids = self.piece_ids(piece)
-        raw = bytearray()
-        for i in ids:
-            if i == self.unknown:
-                raw += self.model.decode([i]).encode()
-            elif self.model.is_byte(i):
-                raw.append(self.byte_ids.index(i))
-            else:
-                raw += self.model.id_to_piece(i).replace(MARK, " ").encode()
-        return len(ids), ",".join(map(str, ids)), raw.decode(errors="replace")
+        plain = self.plain
+        return len(ids), ",".join(map(str, ids)), b"".join([plain[i] for i in ids]).decode(errors="replace")
 
     def encode(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids joined by commas, decoded text) of a whole text."""
