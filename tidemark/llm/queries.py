@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, mixing, quality, sentencepiece, simhash
+from tidemark.llm import exact, mixing, quality, sentencepiece, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +173,29 @@ OP4_SQL = f"""
     FROM copies c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source"""
 
 
+def op2_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+    WITH base AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    parts AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM base),
+    windows AS (SELECT doc_id, i, w[i:i + 19] AS run FROM base, unnest(range(1, len(w) - 18)) u(i) WHERE len(w) >= 20),
+    later AS (
+        SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM windows)
+        WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, i + d AS i FROM later, range(0, 20) r(d)),
+    kept AS (
+        SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS kept_text, count(*) AS n_kept
+        FROM parts p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+    SELECT b.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+           sha256(coalesce(kept_text, '')) AS kept_sha256
+    FROM base b LEFT JOIN kept k ON b.doc_id = k.doc_id"""
+
+
 def op3_sentencepiece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return sentencepiece.encode_digests(_documents(spark, sf_dir), model)
@@ -188,6 +211,7 @@ def checks() -> dict[str, tuple[Query, str | None]]:
     """Name to query and SQL; None where SQL can't express it."""
     return {
         "pipeline": (pipeline, None),
+        "op2_countmin_substrings": (op2_countmin_substrings, OP2_SQL),
         "op3_sentencepiece_table": (op3_sentencepiece_table, None),
         "op4_pareto_mix": (op4_pareto_mix, OP4_SQL),
         "op5_simhash_anchors": (op5_simhash_anchors, None),
