@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, mixing, quality, sentencepiece, simhash, substring
+from tidemark.llm import exact, lm, mixing, quality, sentencepiece, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +173,12 @@ OP4_SQL = f"""
     FROM copies c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source"""
 
 
+def op1_logbilinear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose crc32 of the id leaves 1 by 5 are held out; a null id is an empty text."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return lm.score_texts(_documents(spark, sf_dir), F.crc32(name.cast("binary")) % 5 == 1)
+
+
 def op2_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -211,6 +217,7 @@ def checks() -> dict[str, tuple[Query, str | None]]:
     """Name to query and SQL; None where SQL can't express it."""
     return {
         "pipeline": (pipeline, None),
+        "op1_logbilinear_score": (op1_logbilinear_score, None),
         "op2_countmin_substrings": (op2_countmin_substrings, OP2_SQL),
         "op3_sentencepiece_table": (op3_sentencepiece_table, None),
         "op4_pareto_mix": (op4_pareto_mix, OP4_SQL),
