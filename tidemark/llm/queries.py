@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from tidemark.llm import exact, lm, mixing, quality, sentencepiece, simhash, substring
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.llm import (
+    exact,
+    licences,
+    lm,
+    mixing,
+    quality,
+    secrets,
+    sentencepiece,
+    simhash,
+    substring,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,6 +218,50 @@ def op3_sentencepiece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_digests(_documents(spark, sf_dir), model)
 
 
+def op6_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = secrets.find_secrets(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *map(number, secrets.KINDS[:3]),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_licence_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files named source/language/id, as the table has no paths."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), "doc_id")
+    return licences.scan_licences(_documents(spark, sf_dir).withColumn("path", path))
+
+
+RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op10_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of documents serve as labels of the pages with their ids: no others are given."""
+    from tidemark.session import few_rows
+
+    rules = few_rows(spark, RULES, T.StructType([T.StructField(n, T.StringType()) for n in ("host", "path", "verdict")]))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy(F.col("doc_id").alias("page_id"))
+    labels = labels.agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    judged = urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules, labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -222,6 +277,9 @@ def checks() -> dict[str, tuple[Query, str | None]]:
         "op3_sentencepiece_table": (op3_sentencepiece_table, None),
         "op4_pareto_mix": (op4_pareto_mix, OP4_SQL),
         "op5_simhash_anchors": (op5_simhash_anchors, None),
+        "op6_token_efficiency": (op6_token_efficiency, None),
         "op7_extendible_dedup": (op7_extendible_dedup, OP7_SQL),
         "op8_quality_divergence": (op8_quality_divergence, _op8_sql()),
+        "op9_licence_tfidf": (op9_licence_tfidf, None),
+        "op10_template_tree": (op10_template_tree, None),
     }
