@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.text import row_key, whole_text, words
+from tidemark.llm.text import packed, row_key, whole_text, words
 from tidemark.session import broadcast_if_small, stage
 
 WEIGHTS, MOST_COPIES = (1, 2, 3), 3
@@ -170,21 +170,15 @@ def _with_copies(sizes: DataFrame, targets: DataFrame, decided: DataFrame, best:
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them; all columns as they were."""
-    names = [F.col(f"`{n}`") for n in docs.columns]
-    plan = stage(mix(docs), "mix-plan").groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    plan = stage(mix(docs), "mix-plan").groupBy(F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"))
     # Rows of equal id and text share their copies evenly; the first take what is over.
-    shares = plan.agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    shares = stage(shares.where("__copies > 0"), "mix-copies")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (row_key("text") == F.col("__key"))
-    joined = docs.join(shares, same)
+    shares = plan.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    shares = stage(shares.where("copies > 0"), "mix-copies")
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+    joined = packed(docs).join(shares, same)
     place = F.lit(1)
-    if not shares.where("__rows > 1").isEmpty():
-        place = F.row_number().over(Window.partitionBy("__id", "__key").orderBy(F.lit(1)))
-    joined = joined.withColumn("__place", place)
-    times = F.floor((F.col("__copies") + F.col("__rows") - F.col("__place")) / F.col("__rows"))
-    return (
-        joined.withColumn("__times", times)
-        .where("__times > 0")
-        .withColumn("__again", F.explode(F.array_repeat(F.lit(True), F.col("__times").cast("int"))))
-        .select(*names)
-    )
+    if not shares.where("rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy(F.lit(1)))
+    joined = joined.withColumn("place", place)
+    times = F.floor((F.col("copies") + F.col("rows") - F.col("place")) / F.col("rows")).cast("int")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(True), times)).alias("again")).select("row.*")

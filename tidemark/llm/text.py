@@ -24,22 +24,25 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(whole_text(text))
 
 
+def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows as one struct ``row`` beside ``id`` and ``key``, so that no name can clash."""
+    return docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), row_key(text).alias("key"))
+
+
+def _named(table: DataFrame) -> DataFrame:
+    return table.select(F.col("doc_id").alias("own_id"), F.col("key").alias("own_key")).distinct()
+
+
 def keep_rows(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """Rows of ``docs`` that are not in ``dropped`` (doc_id, key), every column kept."""
-    names = docs.columns
-    gone = dropped.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    rows = docs.withColumn("__row_key", row_key(text))
-    same = rows[doc_id].eqNullSafe(gone["__id"]) & (rows["__row_key"] == gone["__key"])
-    return rows.join(gone, same, "left_anti").select(*[F.col(f"`{n}`") for n in names])
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+    return packed(docs, doc_id, text).join(_named(dropped), same, "left_anti").select("row.*")
 
 
 def single_rows(docs: DataFrame, twins: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """One row of each (doc_id, key) in the stored table ``twins``; all other rows as they are."""
     if twins.isEmpty():
         return docs
-    names = [F.col(f"`{n}`") for n in docs.columns]
-    others = keep_rows(docs, twins, doc_id, text)
-    once = twins.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (row_key(text) == F.col("__key"))
-    repeated = docs.join(once, same).dropDuplicates(["__id", "__key"]).select(*names)
-    return others.unionByName(repeated)
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+    repeated = packed(docs, doc_id, text).join(_named(twins), same).dropDuplicates(["own_id", "own_key"])
+    return keep_rows(docs, twins, doc_id, text).unionAll(repeated.select("row.*"))
