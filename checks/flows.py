@@ -70,7 +70,7 @@ def full_extract_append(spark, sf_dir):
     flows.full_extract(rows, spec, first)
     flows.full_extract(rows, spec, first)
     flows.full_extract(rows, spec, _stores(spark, first.run.root, hours=1))
-    return first.lakehouse("pg_supplier").read()
+    return first.appended("pg_supplier").read()
 
 
 def full_extract_replace(spark, sf_dir):
@@ -145,7 +145,7 @@ def key_incr_extract(spark, sf_dir):
 
 def key_incr_extract_lakehouse(spark, sf_dir):
     stores, _ = _key_runs(spark, sf_dir, "glue_iceberg_raw_table", [10, 10])
-    return stores.lakehouse("events").read()
+    return stores.appended("events").read()
 
 
 def key_incr_checkpoint(spark, sf_dir):

@@ -43,10 +43,10 @@ def test_lander_of_another_group_is_not_taken(spark):
     assert [s.lander_target for s in cf.object_specs(rows)] == ["NA"]
 
 
-def test_source_named_twice_is_one_object(spark):
+def test_source_named_twice_fills_both_targets(spark):
     rows = frame(spark, row(TARGET_TABLE_NAME="b"), row(TARGET_TABLE_NAME="a"))
     assert cf.list_objects(rows).count() == 1
-    assert [s.target_table for s in cf.object_specs(rows)] == ["a"]
+    assert [s.target_table for s in cf.object_specs(rows)] == ["a", "b"]
 
 
 def test_missing_configuration_is_an_error(spark):

@@ -31,6 +31,12 @@ def hour_path(root: str, table: str, kind: str, hour: datetime) -> str:
     return f"{root}/{table}/{kind}/{hour:%Y/%m/%d/%H}"
 
 
+def object_path(root: str, spec) -> str:
+    """A folder per object, group and target: two groups may read one source."""
+    names = (spec.namespace, spec.source_table, spec.proc_group or "none", spec.target_table)
+    return "/".join([root, *names])
+
+
 def relative_path(path: Column, bucket: str) -> Column:
     """The part of ``path`` behind the first ``<bucket>/``."""
     marker = bucket.rstrip("/") + "/"

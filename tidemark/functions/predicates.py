@@ -71,7 +71,7 @@ def bucketed_checkpoint_predicate(specs: Sequence[CheckpointSpec]) -> Column:
     """Checkpoint read of a source partitioned by year and month buckets.
 
     The stored value is one timestamp text. Field one is compared with its year,
-    field two with its month, field three with the whole timestamp. When both
+    field two with its month, every further field with the whole timestamp. When both
     bucket comparisons look forward they are combined by (year, month) order, so
     a checkpoint in December still sees the next January.
     """
@@ -88,7 +88,7 @@ def bucketed_checkpoint_predicate(specs: Sequence[CheckpointSpec]) -> Column:
         buckets = later_year | (same_year & compare(month, month_text))
     else:
         buckets = compare(year, year_text) & compare(month, month_text)
-    return reduce(operator.and_, [compare(s, stamp) for s in specs[2:3]], buckets)
+    return reduce(operator.and_, [compare(s, stamp) for s in specs[2:]], buckets)
 
 
 def market_regions(

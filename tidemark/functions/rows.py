@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from tidemark.model import ROW_TIMESTAMP_FORMAT
 
@@ -21,18 +21,37 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def row_json(columns: Iterable[str], options: dict[str, str] | None = None) -> Column:
-    """JSON text of the given columns, in order; null fields are left out."""
-    return F.to_json(F.struct(*[ref(c) for c in columns]), options or JSON_OPTIONS)
+def row_json(
+    columns: Iterable[str],
+    options: dict[str, str] | None = None,
+    schema: T.StructType | None = None,
+) -> Column:
+    """JSON text of the given columns, in order; null fields are left out.
+
+    With ``schema`` the entries of maps are put in order of their keys.
+    """
+    kinds = {f.name: f.dataType for f in schema or ()}
+    fields = [ordered_maps(c, kinds.get(c)) for c in columns]
+    return F.to_json(F.struct(*fields), options or JSON_OPTIONS)
+
+
+def ordered_maps(name: str, kind: T.DataType | None) -> Column:
+    """A column with the entries of its map in the order of their keys.
+
+    Equal maps may be stored in different orders and must still hash alike.
+    """
+    if not isinstance(kind, T.MapType):
+        return ref(name)
+    return F.map_from_entries(F.array_sort(F.map_entries(ref(name)))).alias(name)
 
 
-def row_hash(columns: Iterable[str]) -> Column:
+def row_hash(columns: Iterable[str], schema: T.StructType | None = None) -> Column:
     """md5 (32 lowercase hex) of the canonical row text.
 
     The text of a row is never null. Saying so with ``coalesce`` keeps joins on the
     hash from adding a not-null filter, which would compute every hash twice.
     """
-    return F.coalesce(F.md5(row_json(columns)), F.lit(""))
+    return F.coalesce(F.md5(row_json(columns, schema=schema)), F.lit(""))
 
 
 def ntz(ts: datetime | str) -> Column:

@@ -18,6 +18,44 @@ from tidemark.session import few_rows
 OBJECT_KEYS = ("SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "PROC_GROUP")
 
 
+def escaped(value: str) -> str:
+    """A value beside others: separators behind a backslash, backslashes twice."""
+    return value.replace("\\", "\\\\").replace(CHECKPOINT_SEPARATOR, "\\" + CHECKPOINT_SEPARATOR)
+
+
+def escaped_text(value: Column) -> Column:
+    """``escaped`` as a column expression."""
+    doubled = F.replace(value, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(doubled, F.lit(CHECKPOINT_SEPARATOR), F.lit("\\" + CHECKPOINT_SEPARATOR))
+
+
+def split_values(values: str) -> list[str]:
+    """The values of a stored checkpoint text, unescaped."""
+    parts, current, behind = [], [], False
+    for sign in values:
+        if behind:
+            current.append(sign if sign in ("\\", CHECKPOINT_SEPARATOR) else "\\" + sign)
+            behind = False
+        elif sign == "\\":
+            behind = True
+        elif sign == CHECKPOINT_SEPARATOR:
+            parts.append("".join(current))
+            current = []
+        else:
+            current.append(sign)
+    return [*parts, "".join(current) + ("\\" if behind else "")]
+
+
+def split_text(values: Column) -> Column:
+    """``split_values`` as a column expression: pairs are set aside, then put back."""
+    back, bar = "\u0001", "\u0002"
+    aside = F.replace(F.replace(values, F.lit("\\\\"), F.lit(back)), F.lit("\\" + CHECKPOINT_SEPARATOR), F.lit(bar))
+    return F.transform(
+        F.split(aside, "\\" + CHECKPOINT_SEPARATOR),
+        lambda v: F.replace(F.replace(v, F.lit(bar), F.lit(CHECKPOINT_SEPARATOR)), F.lit(back), F.lit("\\")),
+    )
+
+
 def parse_checkpoints(config: DataFrame) -> DataFrame:
     """One row per configured checkpoint field of every BRONZE object.
 
@@ -25,7 +63,8 @@ def parse_checkpoints(config: DataFrame) -> DataFrame:
     ``op`` and ``value`` (null where the stored values are fewer).
     """
     sep = "\\" + CHECKPOINT_SEPARATOR
-    values = F.split("CHECKPOINT_TO_VALUE", sep)
+    several = F.contains("CHECKPOINT_FIELD_DEF", F.lit(CHECKPOINT_SEPARATOR))
+    values = F.when(several, split_text(F.col("CHECKPOINT_TO_VALUE"))).otherwise(F.array("CHECKPOINT_TO_VALUE"))
     return (
         config.where((F.col("LAYER_TYPE") == BRONZE) & F.col("CHECKPOINT_FIELD_DEF").isNotNull())
         .select(
@@ -69,9 +108,11 @@ def specs_of(definition: str | None, values: str | None) -> tuple[CheckpointSpec
     """The checkpoint entries of one object, for building its read predicate."""
     if not definition:
         return ()
-    stored = values.split(CHECKPOINT_SEPARATOR) if values is not None else []
+    entries = definition.split(CHECKPOINT_SEPARATOR)
+    # One value needs no separator, so it is stored as it is.
+    stored = [] if values is None else [values] if len(entries) == 1 else split_values(values)
     specs = []
-    for i, entry in enumerate(definition.split(CHECKPOINT_SEPARATOR)):
+    for i, entry in enumerate(entries):
         parts = entry.split(CHECKPOINT_PART_SEPARATOR)
         if len(parts) != 3:
             raise ValueError(f"checkpoint entry {entry!r} is not field::type::operator")
@@ -104,7 +145,7 @@ def next_checkpoint(
     ).select(
         F.when(
             F.forall("tops", lambda t: t.isNotNull()),
-            F.array_join("tops", CHECKPOINT_SEPARATOR),
+            F.col("tops")[0] if len(fields) == 1 else F.array_join(F.transform("tops", escaped_text), CHECKPOINT_SEPARATOR),
         ).alias("checkpoint"),
         "row_count",
     )
@@ -148,20 +189,31 @@ def observed_value(seen: Observation, specs: Sequence[CheckpointSpec]) -> tuple[
     parts = [s.value if t is None else t for t, s in zip(tops, specs)]
     if any(p is None for p in parts):
         return None, rows
-    return CHECKPOINT_SEPARATOR.join(parts), rows
+    if len(parts) == 1:
+        return parts[0], rows
+    return CHECKPOINT_SEPARATOR.join(map(escaped, parts)), rows
 
 
 def advance_checkpoints(config: DataFrame, new: DataFrame) -> DataFrame:
     """Set ``CHECKPOINT_TO_VALUE`` of the BRONZE rows named in ``new``.
 
-    ``new`` has SOURCE_NAMESPACE, SOURCE_TABLE_NAME and ``checkpoint``; a null
-    checkpoint changes nothing.
+    ``new`` has SOURCE_NAMESPACE, SOURCE_TABLE_NAME and ``checkpoint``, and may have
+    PROC_GROUP and TARGET_TABLE_NAME to tell objects of one source apart. A null
+    checkpoint changes nothing. Of several rows of one object the one with the greatest
+    ``position`` counts; without that column different values are an error, since the
+    text of a checkpoint has no order.
     """
-    keys = ["SOURCE_NAMESPACE", "SOURCE_TABLE_NAME"]
+    keys = [c for c in (*OBJECT_KEYS, "TARGET_TABLE_NAME") if c in new.columns]
+    value = F.col("checkpoint")
+    if "position" in new.columns:
+        last = F.max_by("checkpoint", "position")
+    else:
+        message = F.lit("several checkpoints of one object and no position")
+        last = F.when(F.count_distinct(value) > 1, F.raise_error(message).cast("string")).otherwise(F.max(value))
     moved = (
-        new.where(F.col("checkpoint").isNotNull())
+        new.where(value.isNotNull())
         .groupBy(*keys)
-        .agg(F.max("checkpoint").alias("checkpoint"))
+        .agg(last.alias("checkpoint"))
         .withColumn("LAYER_TYPE", F.lit(BRONZE))
     )
     joined = config.join(moved, [*keys, "LAYER_TYPE"], "left")

@@ -103,6 +103,29 @@ def resolve_objects(config: DataFrame) -> DataFrame:
     )
 
 
+def resolve_targets(config: DataFrame) -> DataFrame:
+    """As ``resolve_objects``, but one row for every target of an object.
+
+    Two rows of one object and target are an error: neither is the right one to run.
+    """
+    named = [*OBJECT_KEYS, "TARGET_TABLE_NAME"]
+    bronze = config.where(F.col("LAYER_TYPE") == BRONZE)
+    counted = bronze.groupBy(*named).agg(F.count(F.lit(1)).alias("rows"))
+    twice = F.raise_error(F.lit("an object and target are configured twice"))
+    once = counted.select(*named, F.when(F.col("rows") > 1, twice.cast("boolean")).otherwise(True).alias("once"))
+    own = bronze.join(once.where("once"), named, "left_semi").select(
+        *OBJECT_KEYS,
+        F.col("EXTRACT_METHOD").alias("extract_method"),
+        F.col("SOURCE_SYSTEM").alias("source_system"),
+        F.col("TARGET_TABLE_NAME").alias("target_table"),
+        F.col("TARGET_STORE_TYPE").alias("store_type"),
+        F.col("CHECKPOINT_FIELD_DEF").alias("checkpoint_def"),
+        F.col("CHECKPOINT_TO_VALUE").alias("checkpoint_value"),
+    )
+    landed = resolve_objects(config).select(*OBJECT_KEYS, "flatten_mode", "lander_from", "lander_target")
+    return own.join(landed, list(OBJECT_KEYS))
+
+
 def target_lookup(config: DataFrame) -> DataFrame:
     """Target name of every BRONZE object."""
     return resolve_objects(config).select(*OBJECT_KEYS, "target_table")
@@ -130,8 +153,10 @@ def with_moves(resolved: DataFrame, moves: DataFrame) -> DataFrame:
     ``moves`` has one row per object and configured value. Adds ``configured``.
     """
     keys = ["SOURCE_NAMESPACE", "SOURCE_TABLE_NAME"]
+    named = {"PROC_GROUP": "PROC_GROUP", "TARGET_TABLE_NAME": "target_table"}
     left, right = resolved.alias("r"), moves.alias("m")
     same = [F.col(f"r.{k}") == F.col(f"m.{k}") for k in keys]
+    same += [F.col(f"r.{b}").eqNullSafe(F.col(f"m.{a}")) for a, b in named.items() if a in moves.columns]
     same.append(F.col("r.checkpoint_value").eqNullSafe(F.col("m.configured")))
     return left.join(right, same, "left").select(
         *[
@@ -146,7 +171,7 @@ def with_moves(resolved: DataFrame, moves: DataFrame) -> DataFrame:
 
 def object_specs(config: DataFrame, moves: DataFrame | None = None) -> list[ObjectSpec]:
     """All objects of a run in one job: one configuration row each."""
-    resolved = resolve_objects(config)
+    resolved = resolve_targets(config)
     if moves is None:
         resolved = resolved.withColumn("configured", F.col("checkpoint_value"))
     else:
@@ -170,5 +195,5 @@ def object_specs(config: DataFrame, moves: DataFrame | None = None) -> list[Obje
             )
             for r in rows
         ),
-        key=lambda s: (s.namespace, s.source_table),
+        key=lambda s: (s.namespace, s.source_table, s.target_table),
     )

@@ -13,7 +13,7 @@ from tidemark.model import HASH, INGEST_STAMP, REGION_TAG, RESERVED_RENAME, SRC,
 def with_row_hash(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
     """Add ``hash``: the md5 of the row's canonical JSON text."""
     columns = [c for c in df.columns if c not in exclude]
-    return df.withColumn(HASH, row_hash(columns))
+    return df.withColumn(HASH, row_hash(columns, df.schema))
 
 
 def with_src_json(df: DataFrame) -> DataFrame:

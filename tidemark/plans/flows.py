@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -38,10 +37,13 @@ from tidemark.operators.transforms import (
 )
 from tidemark.plans.lander import land_pending
 from tidemark.sources.readers import Loader, read_source
-from tidemark.tables.checkpoints import CheckpointMoves, latest_moves
-from tidemark.tables.hours import write_load
+from tidemark.sources.files import path_exists
+from tidemark.tables.appends import AppendTable
+from tidemark.tables.checkpoints import CheckpointMoves, carried_config, latest_moves
+from tidemark.tables.hours import load_path, write_load
 from tidemark.tables.log import FileLog
 from tidemark.tables.snapshots import REPLACE, VersionedTable, write_parquet
+from tidemark.tables.tries import Tries, new_try
 
 Advance = Callable[[ObjectSpec, str], None]
 
@@ -62,14 +64,16 @@ class Outcome:
 class Stores:
     """Where a flow keeps tables.
 
-    ``table(database, name)`` gives a lakehouse target: a ``VersionedTable`` by
-    default, a ``LakehouseTable`` where such a runtime is present.
+    ``table(database, name)`` gives a lakehouse target that is replaced, and
+    ``append_table`` one that grows by slices: Parquet tables by default, a
+    ``LakehouseTable`` for both where such a runtime is present.
     """
 
     spark: SparkSession
     run: Run
     log: FileLog
     table: Callable[[str, str], VersionedTable]
+    append_table: Callable[[str, str], AppendTable]
 
     @classmethod
     def parquet(cls, spark: SparkSession, run: Run) -> Stores:
@@ -78,11 +82,15 @@ class Stores:
             run,
             FileLog(spark, run.root),
             lambda database, name: VersionedTable(spark, f"{run.root}/{database}", name),
+            lambda database, name: AppendTable(spark, f"{run.root}/{database}", name),
         )
 
     def lakehouse(self, name: str):
         return self.table(database_name(self.run.database), name)
 
+    def appended(self, name: str):
+        return self.append_table(database_name(self.run.database), name)
+
     def raw(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.run.root}/raw", name)
 
@@ -95,7 +103,9 @@ def _land_if_configured(spec: ObjectSpec, stores: Stores) -> int:
     if spec.flatten_mode != FLATTEN_LAND:
         return 0
     target = stores.raw(spec.lander_target)
-    return land_pending(stores.spark, stores.log, spec.target_table, target, stores.run)
+    return land_pending(
+        stores.spark, stores.log, spec.target_table, target, stores.run, spec.extract_method, spec.lander_from
+    )
 
 
 def full_extract(source: DataFrame, spec: ObjectSpec, stores: Stores) -> Outcome:
@@ -103,7 +113,7 @@ def full_extract(source: DataFrame, spec: ObjectSpec, stores: Stores) -> Outcome
     run, store = stores.run, spec.store_type.lower()
     renamed = rename_reserved(source)
     if store == STORE_APPEND:
-        table = stores.lakehouse(target_name_of(spec.target_table, spec.source_system))
+        table = stores.appended(target_name_of(spec.target_table, spec.source_system))
         rows = _for_lakehouse(with_ingest_ts(renamed, run.run_ts))
         # One slice per run hour: repeating the hour replaces its rows.
         table.append(rows, run.hour, slice_key=f"{FULL_LOAD}@{run.hour}")
@@ -154,6 +164,7 @@ def full_extract_incr(
     # while the other order would leave rows that no later run finds new.
     stores.log.record(run, spec.target_table, folder)
     table.publish(snapshot_id, schema, REPLACE, run.hour, parent=table.current())
+    table.retire()
     landed = _land_if_configured(spec, stores)
     return Outcome(
         spec.source_table, spec.target_table, FULL_EXTRACT_INCR, folder, landed_files=landed
@@ -166,9 +177,10 @@ def key_incr_extract(
     """Append the slice beyond the checkpoint, then move the checkpoint.
 
     The new checkpoint and the row count are observed by the write itself. If the
-    checkpoint cannot be moved, an append to a lakehouse table is taken back. The
-    slice is identified by the stored checkpoint, so a repeat replaces its rows,
-    and a repeat in a later hour empties the folder of the earlier try.
+    checkpoint cannot be moved, an append to a lakehouse table is taken back. Tries that
+    were never finished are replaced by this one; what a finished one wrote stays, even
+    if the checkpoint is set back or does not move. A slice with rows but no value for a
+    new checkpoint stays open, and the next run replaces it.
     """
     run = stores.run
     lake = spec.store_type.lower() == STORE_REPLACE
@@ -178,28 +190,39 @@ def key_incr_extract(
         rows = with_row_hash(rows)
     bucketed = spec.source_system.upper() == CASSANDRA
     watched, seen = observe_checkpoint(rows, spec.checkpoints, bucketed=bucketed)
-    slice_key = "|".join(f"{c.field}{c.op}{c.value}" for c in spec.checkpoints)
-
+    tries, try_id = Tries(stores.spark, run.root, spec), new_try()
+    table = stores.appended(spec.target_table) if lake else None
+
+    def take_back(earlier: str, written_to: str) -> None:
+        if lake:
+            table.undo(earlier)
+        elif path_exists(stores.spark, written_to):
+            write_parquet(rows.limit(0), written_to)
+            stores.log.record(run, spec.target_table, written_to)
+        tries.close(earlier)
+
+    for earlier, written_to in tries.unfinished(spec):
+        take_back(earlier, written_to)
+
+    where = table.path if lake else load_path(run, spec.target_table, KEY_INCR_LOAD, try_id)
+    tries.start(where, try_id)
     if lake:
-        table = stores.lakehouse(spec.target_table)
-        key = hashlib.md5(slice_key.encode()).hexdigest()
-        table.append(_for_lakehouse(watched), run.hour, slice_key=key)
-        where = table.path
+        table.append(_for_lakehouse(watched), run.hour, slice_key=try_id)
     else:
-        where = write_load(watched, run, spec.target_table, KEY_INCR_LOAD, slice_key)
+        write_load(watched, run, spec.target_table, KEY_INCR_LOAD, try_id)
         stores.log.record(run, spec.target_table, where)
-        for earlier in stores.log.same_leaf(run, spec.target_table, where):
-            write_parquet(rows.limit(0), earlier)
-            stores.log.record(run, spec.target_table, earlier)
 
     checkpoint, rows_seen = observed_value(seen, spec.checkpoints)
     if rows_seen and checkpoint is not None:
+        tries.seal(try_id, checkpoint)
         try:
             advance(spec, checkpoint)
         except Exception:
             if lake:
-                table.rollback(to_empty=True)
+                take_back(try_id, where)
             raise
+    if not rows_seen or checkpoint is not None:
+        tries.close(try_id)
     return Outcome(spec.source_table, spec.target_table, KEY_INCR_EXTRACT, where, checkpoint)
 
 
@@ -220,9 +243,18 @@ def ingest(
     proc_group: str,
     loaders: Mapping[str, Loader],
     stores: Stores,
+    save_config: Callable[[DataFrame], None] | None = None,
 ) -> list[Outcome]:
-    """Run every active object of a namespace and group; the first failure stops it."""
+    """Run every active object of a namespace and group; the first failure stops it.
+
+    ``save_config`` gets the configuration with the moved checkpoints, also after a
+    failure, so that whoever reads it sees how far each object has come.
+    """
     active = active_objects(config, namespace, proc_group, (BRONZE, LANDER))
     moves = CheckpointMoves(stores.spark, stores.run.root)
     specs = object_specs(active, latest_moves(moves.read()))
-    return [ingest_object(s, loaders, stores, moves.advance) for s in specs]
+    try:
+        return [ingest_object(s, loaders, stores, moves.advance) for s in specs]
+    finally:
+        if save_config is not None:
+            save_config(carried_config(config, moves.read()))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.model import Run
+from tidemark.functions.names import relative_path
+from tidemark.model import FULL_EXTRACT, FULL_EXTRACT_INCR, NOT_AVAILABLE, Run
+from tidemark.operators.filelog import files_since, latest_hour_files
 from tidemark.operators.transforms import drop_technical, to_src
+from tidemark.session import stage
 from tidemark.sources.files import read_files
 from tidemark.tables.log import FileLog
 from tidemark.tables.snapshots import VersionedTable
@@ -42,20 +45,49 @@ def land_files(
     land(raw_rows(spark, paths, schema), target, run)
 
 
+def files_to_land(log: DataFrame, table: str, method: str | None, since: str | None) -> DataFrame:
+    """Log rows of a table's unprocessed files that its extract method lands.
+
+    A full copy holds all rows, so of full extracts only the latest hour counts. Of
+    increments those modified after ``since`` count. Without a method all do.
+    """
+    waiting = log.where((F.col("TABLE_NAME") == table) & ~F.col("PROCESSED_FLAG"))
+    if method == FULL_EXTRACT:
+        # The latest hour of all files, landed or not: an older copy never follows it.
+        return latest_hour_files(log.where(F.col("TABLE_NAME") == table), table).where(~F.col("PROCESSED_FLAG"))
+    if method == FULL_EXTRACT_INCR and since not in (None, "", NOT_AVAILABLE):
+        return files_since(waiting, table, since)
+    return waiting
+
+
 def land_pending(
-    spark: SparkSession, log: FileLog, table: str, target: VersionedTable, run: Run
+    spark: SparkSession,
+    log: FileLog,
+    table: str,
+    target: VersionedTable,
+    run: Run,
+    method: str | None = None,
+    since: str | None = None,
 ) -> int:
-    """Land the unprocessed files of a table, then mark them. Returns their number.
+    """Land the files of a table that are due, then mark them. Returns their number.
 
-    Only file names come to the driver, as for any read of explicit files. The
-    log is marked after the target is published: a crash between the two lands
-    the same files again into a target that is replaced, never doubled.
+    Load folders come to the driver, a few per hour; files are picked by a semi-join of
+    their rows with the log. Full copies that a later one replaced are marked as well. The
+    log is marked after the target is published: a crash between the two lands the same
+    files again into a target that is replaced, never doubled.
     """
-    pending = log.pending(run, table)
-    paths = [f.file_path for f in pending.select("file_path").collect()]
-    if not paths:
+    logged = log.read(table)
+    due = stage(files_to_land(logged, table, method, since).select("FILE_UID", "FILE_WITH_PATH"), "due-files")
+    folder = F.regexp_replace("FILE_WITH_PATH", "/[^/]*$", "")
+    folders = [r[0] for r in due.select(folder).distinct().collect()]
+    if not folders:
         return 0
-    land_files(spark, paths, target, run)
-    # ``pending`` is bound to the log version read above, so both lists agree.
-    log.done(table, pending, run.run_ts)
-    return len(paths)
+    rows = read_files(spark, [f"{run.root}/{f}" for f in sorted(folders)])
+    named = rows.withColumn("__file", relative_path(F.col("_metadata.file_path"), run.bucket))
+    picked = named.join(due, F.col("__file") == F.col("FILE_WITH_PATH"), "left_semi").drop("__file")
+    land(to_src(drop_technical(picked)), target, run)
+    done = due.select("FILE_UID")
+    if method == FULL_EXTRACT:
+        done = done.unionAll(logged.where(~F.col("PROCESSED_FLAG")).select("FILE_UID"))
+    log.done(table, done, run.run_ts)
+    return due.count()

@@ -15,6 +15,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder; needs a classic session, as ``path_exists`` does."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+
+
 def read_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.model import ObjectSpec
+from tidemark.functions.names import object_path
+from tidemark.model import BRONZE, ObjectSpec
 from tidemark.session import few_rows
 from tidemark.sources.files import path_exists
 
@@ -19,6 +20,8 @@ CHECKPOINT_MOVES = T.StructType(
     [
         T.StructField("SOURCE_NAMESPACE", T.StringType()),
         T.StructField("SOURCE_TABLE_NAME", T.StringType()),
+        T.StructField("PROC_GROUP", T.StringType()),
+        T.StructField("TARGET_TABLE_NAME", T.StringType()),
         T.StructField("configured", T.StringType()),
         T.StructField("position", T.LongType()),
         T.StructField("checkpoint", T.StringType()),
@@ -26,9 +29,12 @@ CHECKPOINT_MOVES = T.StructType(
 )
 
 
+OBJECT = ("SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "PROC_GROUP", "TARGET_TABLE_NAME")
+
+
 def latest_moves(moves: DataFrame) -> DataFrame:
     """The last move of every object and configured value."""
-    return moves.groupBy("SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "configured").agg(
+    return moves.groupBy(*OBJECT, "configured").agg(
         F.max_by("checkpoint", "position").alias("checkpoint")
     )
 
@@ -51,13 +57,36 @@ class CheckpointMoves:
 
     def advance(self, spec: ObjectSpec, checkpoint: str) -> None:
         """Append one move. One run at a time per object is assumed."""
-        own = f"{self.path}/{spec.namespace}/{spec.source_table}"
+        own = object_path(self.path, spec)
         last = self._read(own).agg(F.max("position")).first()[0] or 0
         row = (
             spec.namespace,
             spec.source_table,
+            spec.proc_group,
+            spec.target_table,
             spec.configured_checkpoint,
             last + 1,
             checkpoint,
         )
         few_rows(self.spark, [row], CHECKPOINT_MOVES).write.mode("append").parquet(own)
+
+
+def carried_config(config: DataFrame, moves: DataFrame) -> DataFrame:
+    """The configuration with stored moves as its checkpoint values, for its one writer.
+
+    Moves that started from another configured value than the present one are not
+    applied: the value was edited since.
+    """
+    last = latest_moves(moves).select(
+        *[F.col(c).alias(f"of_{c}") for c in OBJECT], F.col("configured").alias("of_value"), "checkpoint"
+    )
+    same = F.col("CHECKPOINT_TO_VALUE").eqNullSafe(F.col("of_value")) & (F.col("LAYER_TYPE") == BRONZE)
+    for c in OBJECT:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    joined = config.join(last, same, "left")
+    return joined.select(
+        *[
+            F.coalesce("checkpoint", c).alias(c) if c == "CHECKPOINT_TO_VALUE" else F.col(c)
+            for c in config.columns
+        ]
+    )

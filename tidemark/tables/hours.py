@@ -16,8 +16,7 @@ def load_path(run: Run, table: str, kind: str, slice_key: str | None = None) ->
     """The folder a run writes a load of a table to.
 
     A checkpoint extract can run several times an hour, each time with rows the
-    earlier ones lack, so each stored checkpoint value gets a folder of its own
-    inside the hour. A retry has the same value and overwrites its own folder.
+    earlier ones lack, so each try gets a folder of its own inside the hour.
     """
     path = hour_path(run.root, table, kind, run.hour)
     if kind == KEY_INCR_LOAD and slice_key is not None:

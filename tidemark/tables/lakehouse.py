@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.transforms import aligned_names
 
 
+#: The column that tells which slice a row was written with.
+SLICE = "ingest_slice"
+
+
 class LakehouseTable:
     def __init__(self, spark: SparkSession, catalog: str, database: str, name: str):
         for part in (catalog, database, name):
@@ -28,8 +32,19 @@ class LakehouseTable:
     def snapshots(self) -> DataFrame:
         return self.spark.table(f"{self.identifier}.snapshots")
 
-    def append(self, df: DataFrame, run_hour: datetime | None = None, **_) -> None:
-        df.writeTo(self.identifier).option("mergeSchema", "true").append()
+    def append(
+        self, df: DataFrame, run_hour: datetime | None = None, slice_key: str | None = None, **_
+    ) -> None:
+        """Write one slice in the place of its earlier try, as one atomic commit."""
+        key = slice_key if slice_key is not None else f"hour@{run_hour}"
+        if SLICE not in self.read().columns:
+            self.spark.sql(f"ALTER TABLE {self.identifier} ADD COLUMN {SLICE} STRING")
+        rows = df.withColumn(SLICE, F.lit(key))
+        rows.writeTo(self.identifier).option("mergeSchema", "true").overwrite(F.col(SLICE) == key)
+
+    def undo(self, slice_key: str) -> None:
+        """Overwrite a slice with nothing."""
+        self.read().limit(0).writeTo(self.identifier).overwrite(F.col(SLICE) == slice_key)
 
     def replace(self, df: DataFrame, run_hour: datetime | None = None, **_) -> None:
         """Overwrite all rows, matched by name."""

@@ -18,10 +18,13 @@ from pyspark.sql.window import Window
 from tidemark.functions.rows import cut_to_hour
 from tidemark.model import HASH_VERSION, SNAPSHOT_LOG
 from tidemark.session import few_rows
-from tidemark.sources.files import path_exists
+from tidemark.sources.files import delete_folder, path_exists
 
 APPEND, REPLACE, ROLLBACK = "append", "replace", "rollback"
 
+#: Run hours whose snapshots are kept as backups.
+BACKUP_HOURS = 3
+
 _WIDER = {("int", "bigint"), ("float", "double")}
 
 
@@ -225,6 +228,25 @@ class VersionedTable:
             {"operation": ROLLBACK, **({k: parent[k] for k in kept} if parent else {})}
         )
 
+    def retire(self, keep: int = BACKUP_HOURS) -> list[int]:
+        """Delete superseded snapshots beyond the ``keep`` latest run hours.
+
+        The current snapshot, and what it is made of, stays; so does what a reader of
+        the ``keep`` latest hours may hold. The log keeps a row of each snapshot.
+        """
+        made = {r.snapshot_id: r.run_hour for r in self.history() if r.operation != ROLLBACK}
+        hours = sorted({h for h in made.values() if h is not None}, reverse=True)[:keep]
+        held = set(self.folders())
+        gone = []
+        for snapshot_id, hour in made.items():
+            path = self.snapshot_path(snapshot_id)
+            if hour is None or hour in hours or path in held or not hours or hour > hours[-1]:
+                continue
+            if path_exists(self.spark, path):
+                delete_folder(self.spark, path)
+                gone.append(snapshot_id)
+        return gone
+
     # -- reading ----------------------------------------------------------
 
     def _record(self, snapshot_id: int | None) -> Row | None:
