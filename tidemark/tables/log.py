@@ -1,93 +1,71 @@
-"""The stored file log."""
+"""The stored file log.
+
+Log rows are Parquet files in one folder per logged table and written load. Logging a
+load replaces that load's rows, so a repeat leaves no row of a file that is gone, and
+nothing older is read or rewritten. Files that were processed are noted beside the log,
+row by row; a reader joins the two.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
-from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.names import key_below
-from tidemark.model import FILE_INGEST_LOG, SNAPSHOT_LOG, Run
-from tidemark.operators.filelog import (
-    file_inventory,
-    mark_processed,
-    pending_files,
-    to_log_rows,
-    unlogged,
+from tidemark.functions.rows import ntz
+from tidemark.model import FILE_INGEST_LOG, Run
+from tidemark.operators.filelog import file_inventory, pending_files, to_log_rows
+from tidemark.session import few_rows
+from tidemark.sources.files import path_exists
+
+PROCESSED = T.StructType(
+    [
+        T.StructField("FILE_UID", T.StringType()),
+        T.StructField("processed_at", T.TimestampNTZType()),
+    ]
 )
-from tidemark.sources.files import path_exists, read_files
-from tidemark.tables.snapshots import VersionedTable
 
 
 class FileLog:
-    """The file log, kept as one small versioned table per logged table.
-
-    Runs over different tables can therefore log at the same time; one run at a
-    time per table is assumed. The log holds one row per written file.
-    """
+    """Runs over different tables, and over different loads of one, can log at once."""
 
     def __init__(self, spark: SparkSession, root: str, name: str = "file_ingest_log"):
         self.spark, self.root = spark, f"{root.rstrip('/')}/{name}"
 
-    def part(self, table: str) -> VersionedTable:
-        return VersionedTable(self.spark, self.root, table)
+    def _stored(self, kind: str, tables: tuple[str, ...], schema: T.StructType) -> DataFrame:
+        folders = [f"{self.root}/{kind}/{t}" for t in tables] or [f"{self.root}/{kind}"]
+        present = [f for f in folders if path_exists(self.spark, f)]
+        if not present:
+            return few_rows(self.spark, [], schema)
+        reader = self.spark.read.schema(schema).option("recursiveFileLookup", "true")
+        return reader.parquet(*present)
 
     def read(self, *tables: str) -> DataFrame:
-        """Log rows of the given tables, of all logged tables when none is given.
-
-        One scan over the folders of all parts, however many tables there are.
-        """
-        parts = [self.part(t) for t in tables] or self.parts()
-        folders = [f for p in parts for f in p.folders()]
-        return read_files(self.spark, folders, FILE_INGEST_LOG)
-
-    def parts(self) -> list[VersionedTable]:
-        """All logged tables, their snapshot logs read in one job."""
-        if not path_exists(self.spark, self.root):
-            return []
-        logs = self.spark.read.schema(SNAPSHOT_LOG).parquet(f"{self.root}/*/_snapshot_log")
-        rows = sorted(logs.collect(), key=lambda r: (r.table_name, r.version))
-        return [
-            VersionedTable(self.spark, self.root, name, list(history))
-            for name, history in groupby(rows, key=lambda r: r.table_name)
-        ]
+        """Log rows of the given tables, of all logged tables when none is given."""
+        rows = self._stored("files", tables, FILE_INGEST_LOG)
+        notes = self._stored("processed", tables, PROCESSED)
+        done = notes.groupBy("FILE_UID").agg(F.max("processed_at").alias("processed_at"))
+        changed = {
+            "PROCESSED_FLAG": F.col("PROCESSED_FLAG") | F.col("processed_at").isNotNull(),
+            "FILE_PROCESSED_DTIMEUTC": F.coalesce("processed_at", "FILE_PROCESSED_DTIMEUTC"),
+        }
+        return rows.join(done, "FILE_UID", "left").select(
+            *[changed.get(c, F.col(c)).alias(c) for c in FILE_INGEST_LOG.names]
+        )
 
     def record(self, run: Run, table: str, folder: str) -> None:
-        """Log the files of a written folder.
-
-        Rows of files that an earlier try left there and that are gone now are
-        taken out, so nothing later looks for a missing file.
-        """
-        part = self.part(table)
-        log = part.read_or_empty(FILE_INGEST_LOG)
+        """Log the files of a written folder in the place of what was logged for it."""
+        load = hashlib.md5(key_below(folder, run.bucket).encode()).hexdigest()
         new = to_log_rows(file_inventory(self.spark, folder), table, run.bucket, run.run_ts)
-        inside = F.col("FILE_WITH_PATH").startswith(key_below(folder, run.bucket) + "/")
-        stale = log.where(inside).join(new.select("FILE_UID"), "FILE_UID", "left_anti")
-        if part.current() is None or stale.isEmpty():
-            part.append(unlogged(log, new).hint("rebalance"))
-        else:
-            kept = log.join(stale.select("FILE_UID"), "FILE_UID", "left_anti")
-            part.replace(
-                kept.select(*log.columns).unionByName(unlogged(log, new)).hint("rebalance")
-            )
-
-    def same_leaf(self, run: Run, table: str, folder: str) -> list[str]:
-        """Other logged folders of a table that end in the same folder name."""
-        parent = F.regexp_replace("FILE_WITH_PATH", "/[^/]*$", "")
-        own, leaf = key_below(folder, run.bucket), folder.rsplit("/", 1)[1]
-        found = (
-            self.read(table)
-            .select(parent.alias("folder"))
-            .where(F.col("folder").endswith("/" + leaf) & (F.col("folder") != own))
-            .distinct()
-            .collect()
-        )
-        return [f"{run.root}/{r.folder}" for r in found]
+        # One row per written file is little: one log file holds it.
+        new.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/files/{table}/load={load}")
 
     def pending(self, run: Run, table: str) -> DataFrame:
         return pending_files(self.read(table), table, run.scheme)
 
     def done(self, table: str, files: DataFrame, ts: datetime) -> None:
-        marked = mark_processed(self.read(table), files, ts)
-        self.part(table).replace(marked.hint("rebalance"))
+        """Note the files named in ``files`` as processed."""
+        notes = files.select("FILE_UID", ntz(ts).alias("processed_at")).distinct()
+        notes.coalesce(1).write.mode("append").parquet(f"{self.root}/processed/{table}")
