@@ -27,7 +27,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.text import whole_text
 from tidemark.session import stage
@@ -36,7 +36,7 @@ from tidemark.session import stage
 END = b"\n"
 #: Words with their own output class, classes of other words, words with their own
 #: context, contexts of other words, words known to every task, and vector length.
-OUT_WORDS, OUT_CLASSES, CONTEXT_WORDS, CONTEXT_CLASSES, HEAVY, WIDTH = 1792, 256, 448, 63, 1 << 18, 32
+OUT_WORDS, OUT_CLASSES, CONTEXT_WORDS, CONTEXT_CLASSES, HEAVY, WIDTH = 1792, 256, 448, 63, 1 << 17, 32
 START = CONTEXT_WORDS + CONTEXT_CLASSES
 CONTEXTS = START + 1
 BATCH, NOISE, RATE, SEED = 1024, 64, 0.08, 7
@@ -296,8 +296,15 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     for row in per_class.collect():  # OUT_CLASSES rows at most
         totals[row["class"]] = row["n"]
         n, v, singles = n + row["n"], v + row["v"], singles + row["singles"]
-    heavy = counts.orderBy(F.desc("n"), "word").limit(HEAVY).select("word", "n").collect()
-    model = Model([(bytes(r["word"]), r["n"]) for r in heavy], totals, n, v, singles)
+    # The least count that HEAVY words or fewer reach; as many rows as there are counts.
+    upto = F.sum("words").over(Window.orderBy(F.desc("n")))
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("upto", upto)
+    least = sizes.where(F.col("upto") <= HEAVY).agg(F.min("n")).first()[0] or 2**62
+    found = counts.where(F.col("n") >= least).select("word", "n").toArrow()
+    heavy = list(zip(found["word"].to_pylist(), found["n"].to_pylist()))
+    del found
+    heavy.sort(key=lambda x: (-x[1], x[0]))
+    model = Model(heavy, totals, n, v, singles)
     if not n:
         model.normaliser = model.normalisers(np.arange(CONTEXTS))
         return model, counts
