@@ -34,7 +34,7 @@ OBJECT = ("SOURCE_NAMESPACE", "SOURCE_TABLE_NAME", "PROC_GROUP", "TARGET_TABLE_N
 
 def latest_moves(moves: DataFrame) -> DataFrame:
     """The last move of every object and configured value."""
-    return moves.groupBy(*OBJECT, "configured").agg(
+    return moves.groupBy(*[c for c in OBJECT if c in moves.columns], "configured").agg(
         F.max_by("checkpoint", "position").alias("checkpoint")
     )
 
