@@ -31,7 +31,7 @@ from tidemark.session import stage
 WINDOW, GRAM = 20, 8
 MAX_BITS, MIN_BITS, BLOCK_BITS, ROWS = 28, 16, 16, 2
 #: Words that a task holds hashed at once.
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 300_000
 #: Rows without an id come after all others.
 NO_ID = 2**63 - 1
 
@@ -286,7 +286,7 @@ def _ranges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
         counts, removed, texts = [], [], []
         for body, gone in zip(batch.column("body"), batch.column("gone")):
             found, lost = body.as_py().split(), 0
