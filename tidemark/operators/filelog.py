@@ -54,7 +54,7 @@ def to_log_rows(inventory: DataFrame, table: str, bucket: str, run_ts: datetime)
         "CREATED_AT_DTIMEUTC": ntz(run_ts.replace(microsecond=0)),
         "REPROCESS_FLAG": F.lit(False),
     }
-    return inventory.where(F.element_at(F.split("path", "/"), -1) != FILE_NAME_NOISE).select(
+    return inventory.where(~F.element_at(F.split("path", "/"), -1).startswith(FILE_NAME_NOISE)).select(
         *[filled[f.name].cast(f.dataType).alias(f.name) for f in FILE_INGEST_LOG]
     )
 
