@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -53,6 +54,23 @@ REGION_PARENT_COLUMN = "preference_region"
 REGION_PARENT_KEY = "id"
 REGION_CHILD_KEY = "partner_id"
 
+
+
+@dataclass(frozen=True)
+class RegionRule:
+    """Which tables are limited to market regions, and by which columns.
+
+    The defaults are those fixed values; another installation gives its own.
+    """
+
+    regions: Mapping[str, Sequence[str]] = field(default_factory=lambda: MARKET_REGIONS)
+    parent_table: str = REGION_PARENT_TABLE
+    child_tables: tuple[str, ...] = REGION_CHILD_TABLES
+    column: str = REGION_PARENT_COLUMN
+    parent_key: str = REGION_PARENT_KEY
+    child_key: str = REGION_CHILD_KEY
+
+
 FULL_LOAD = "full_load"
 INCR_LOAD = "incr_load"
 KEY_INCR_LOAD = "key_incr_load"
@@ -144,6 +162,7 @@ class Run:
     database: str = "lakehouse"
     files: int | None = None
     max_records_per_file: int = 20_000_000
+    region_rule: RegionRule = field(default_factory=RegionRule)
 
     def __post_init__(self):
         object.__setattr__(self, "run_ts", utc_naive(self.run_ts))

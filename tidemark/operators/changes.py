@@ -129,8 +129,10 @@ def region_semi_filter(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Child rows whose parent row lies in the region."""
-    wanted = region_filter(parent, column, region, mapping).select(
-        ref(parent_key).alias(child_key)
+    # Stored, as it is counted and then read: a live parent is read once.
+    wanted = stage(
+        region_filter(parent, column, region, mapping).select(ref(parent_key).alias(child_key)).distinct(),
+        "region-keys",
     )
     return child.join(broadcast_if_small(wanted, broadcast_rows), child_key, "left_semi").select(
         *map(ref, child.columns)

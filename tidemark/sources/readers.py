@@ -20,11 +20,6 @@ from tidemark.model import (
     KEY_INCR_EXTRACT,
     MONGODB,
     MYSQL,
-    REGION_CHILD_KEY,
-    REGION_CHILD_TABLES,
-    REGION_PARENT_COLUMN,
-    REGION_PARENT_KEY,
-    REGION_PARENT_TABLE,
     SOURCE_SYSTEMS,
     ObjectSpec,
     Run,
@@ -140,6 +135,10 @@ def jdbc_loader(base: JdbcSpec, splits: Mapping[str, tuple[str, int]] | None = N
     return load
 
 
+#: Sample size that takes in a whole collection.
+ALL_DOCUMENTS = 2**31 - 1
+
+
 def wide_column_loader(fmt: str = CONNECTOR_FORMATS[CASSANDRA], **options: str) -> Loader:
     def load(spark: SparkSession, spec: ObjectSpec) -> DataFrame:
         return read_connector(
@@ -150,8 +149,14 @@ def wide_column_loader(fmt: str = CONNECTOR_FORMATS[CASSANDRA], **options: str)
 
 
 def document_loader(
-    fmt: str = CONNECTOR_FORMATS[MONGODB], sample_size: int = 1000, **options: str
+    fmt: str = CONNECTOR_FORMATS[MONGODB], sample_size: int = ALL_DOCUMENTS, **options: str
 ) -> Loader:
+    """Document collections; the schema is inferred over all documents.
+
+    A smaller ``sample_size`` is quicker and loses, without notice, every field that
+    only documents outside the sample have.
+    """
+
     def load(spark: SparkSession, spec: ObjectSpec) -> DataFrame:
         return read_connector(
             spark,
@@ -208,16 +213,18 @@ def _served_region(
     spark: SparkSession, spec: ObjectSpec, rows: DataFrame, load: Loader, run: Run
 ) -> DataFrame:
     """Partner tables are limited to the market regions served from the run's region."""
-    if spec.source_table == REGION_PARENT_TABLE:
-        return region_filter(rows, REGION_PARENT_COLUMN, run.region)
-    if spec.source_table in REGION_CHILD_TABLES:
-        parents = load(spark, replace(spec, source_table=REGION_PARENT_TABLE))
+    rule = run.region_rule
+    if spec.source_table == rule.parent_table:
+        return region_filter(rows, rule.column, run.region, rule.regions)
+    if spec.source_table in rule.child_tables:
+        parents = load(spark, replace(spec, source_table=rule.parent_table))
         return region_semi_filter(
             rows,
             parents,
-            REGION_CHILD_KEY,
-            REGION_PARENT_KEY,
-            REGION_PARENT_COLUMN,
+            rule.child_key,
+            rule.parent_key,
+            rule.column,
             run.region,
+            rule.regions,
         )
     return rows
