@@ -1,3 +1,5 @@
+import pytest
+
 from tests.conftest import rows_of
 from tidemark.operators.transforms import to_src, with_row_hash
 from tidemark.streaming.lander import land_stream, read_landed
@@ -23,12 +25,11 @@ def test_each_file_is_landed_once(spark, customers, tmp_path):
     assert rows_of(read_landed(spark, target)) == rows_of(to_src(customers))
 
 
-def test_repeated_batch_overwrites_its_folder(spark, customers, tmp_path):
-    """A batch that ran but was not recorded is run again; its rows stay single."""
+def test_filled_target_refuses_a_new_checkpoint(spark, customers, tmp_path):
+    """A lost checkpoint would land all files again under numbers already taken."""
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     customers.write.parquet(source)
-    for attempt in ("first", "second"):
-        land_stream(
-            spark, source, customers.schema, target, str(tmp_path / attempt)
-        ).awaitTermination()
+    land_stream(spark, source, customers.schema, target, str(tmp_path / "first")).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        land_stream(spark, source, customers.schema, target, str(tmp_path / "second"))
     assert read_landed(spark, target).count() == customers.count()
