@@ -300,7 +300,8 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     upto = F.sum("words").over(Window.orderBy(F.desc("n")))
     sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("upto", upto)
     least = sizes.where(F.col("upto") <= HEAVY).agg(F.min("n")).first()[0] or 2**62
-    found = counts.where(F.col("n") >= least).select("word", "n").toArrow()
+    wanted = (F.col("n") >= least) | (F.col("word") == F.lit(bytearray(END)))
+    found = counts.where(wanted).select("word", "n").toArrow()
     heavy = list(zip(found["word"].to_pylist(), found["n"].to_pylist()))
     del found
     heavy.sort(key=lambda x: (-x[1], x[0]))
