@@ -30,7 +30,7 @@ SHINGLE, SEED, MAX_BITS = 4, 42, 4
 BLOCKS = ((0, 23), (23, 23), (46, 18))
 #: Members of an anchor that one task compares at once.
 CHUNK = 20_000
-_TILE = 1 << 22
+_TILE = 1 << 20
 #: Generator polynomial of the binary Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 _GOLAY = 0b101011100011
 
@@ -59,6 +59,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _prints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    # Arrow's own pool keeps the room of the largest batches for as long as a worker lives.
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         bodies = batch.column("body")
         prints = np.fromiter((fingerprint(b.as_py(), shingle) for b in bodies), np.uint64, len(bodies))
