@@ -6,7 +6,7 @@ small, a window is counted through its minimiser: the least-hashed short run of
 (gram) inside it, leftmost among equals. Equal windows have equal minimisers at
 different places, so a window that occurs twice has a minimiser that occurs twice:
 the estimate is never too low and no repeated window is lost. The second pass hashes
-only windows estimated repeated to 128 bits, gathers them by hash range and groups them
+only windows estimated repeated to 96 bits, gathers them by hash range and groups them
 exactly. Marks go back to their documents as ranges of words.
 
 Copies within a chunk of one task are settled there, so a passage that a third of all
@@ -36,7 +36,7 @@ CHUNK_WORDS = 300_000
 NO_ID = 2**63 - 1
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-_ENTRY = np.dtype([("hi", "<u8"), ("lo", "<u8"), ("id", "<i8"), ("key", "<i8"), ("pos", "<i4")])
+_ENTRY = np.dtype([("hi", "<u8"), ("lo", "<u4"), ("id", "<i8"), ("key", "<i8"), ("pos", "<i4")])
 _MARK = np.dtype([("id", "<i8"), ("key", "<i8"), ("pos", "<i4")])
 
 
@@ -207,8 +207,8 @@ def _marks(entries: np.ndarray) -> np.ndarray:
     return same & later
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], window: int, gram: int, sketch, bits: int, deal: int):
-    """Marks settled within a chunk (kind 0), and what other chunks must see (kind 1)."""
+def _candidates(batches: Iterator[pa.RecordBatch], window: int, gram: int, sketch, bits: int, deal: int, kind: int):
+    """Marks settled within a chunk (kind 0), or what other chunks must see (kind 1)."""
     flags = sketch.value
     for chunk in _chunks(batches, window, gram):
         slots = _slots(chunk.grams[chunk.least], bits)
@@ -219,20 +219,20 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int, gram: int, sketc
         entries = np.empty(len(starts), _ENTRY)
         own = chunk.own[starts]
         entries["hi"] = _runs(chunk.hashes, window, _ODD[0])[starts]
-        entries["lo"] = _runs(_mixed(chunk.hashes, _ODD[0]), window, _ODD[2])[starts]
+        entries["lo"] = _runs(_mixed(chunk.hashes, _ODD[0]), window, _ODD[2])[starts] >> np.uint64(32)
         entries["id"], entries["key"] = chunk.ids[own], chunk.keys[own]
         entries["pos"] = starts - chunk.first[own]
         order = np.argsort(entries["hi"], kind="stable")
         marked = np.zeros(len(entries), bool)
         marked[order] = _marks(entries[order])
-        done = entries[marked]
-        if len(done):
+        done, rest = entries[marked], entries[~marked]
+        if kind == 0 and len(done):
             marks = np.empty(len(done), _MARK)
             for name in _MARK.names:
                 marks[name] = done[name]
             yield _dealt(marks, _home(marks["id"], marks["key"], deal), 0)
-        rest = entries[~marked]
-        yield _dealt(rest, rest["hi"] >> np.uint64(64 - deal), 1)
+        elif kind == 1:
+            yield _dealt(rest, rest["hi"] >> np.uint64(64 - deal), 1)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
@@ -328,17 +328,18 @@ def remove_repeats(
     flags, bits = repeated_counters(texts, window, gram)
     sketch = spark.sparkContext.broadcast(flags)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    deal = max(3, math.ceil(math.log2(4 * parts)))
+    deal = max(3, math.ceil(math.log2(2 * parts)))
     dealt = "kind int, bucket long, rows binary"
-    found = stage(
-        texts.mapInArrow(lambda b: _candidates(b, window, gram, sketch, bits, deal), dealt), "repeat-candidates"
-    )
+
+    def found(kind):
+        # Hashing the texts once more takes less than a stored copy of all candidates.
+        return texts.mapInArrow(lambda b: _candidates(b, window, gram, sketch, bits, deal, kind), dealt)
 
     def by_bucket(df):
         return df.select("bucket", "rows").repartition("bucket").sortWithinPartitions("bucket")
 
-    across = by_bucket(found.where("kind = 1")).mapInArrow(lambda b: _exact(b, deal), dealt)
-    marks = by_bucket(found.where("kind = 0").unionAll(across))
+    across = by_bucket(found(1)).mapInArrow(lambda b: _exact(b, deal), dealt)
+    marks = by_bucket(found(0).unionAll(across))
     ranges = stage(
         marks.mapInArrow(lambda b: _ranges(b, window), "id long, key long, gone binary"), "repeat-ranges"
     )
