@@ -311,8 +311,11 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
         return model, counts
     data = spark.sparkContext.broadcast(pickle.dumps(model))
     trained = texts.mapInArrow(lambda b: _trained(b, data), "block int, n long, values binary")
+    # Averaged in two steps, so that no task reads the parameters of all others.
+    some = trained.repartition("block", F.pmod(F.spark_partition_id(), F.lit(64)))
+    some = some.mapInArrow(_summed, "block int, n long, values binary")
     blocks = stage(
-        trained.repartition("block").mapInArrow(_summed, "block int, n long, values binary"), "parameters"
+        some.repartition("block").mapInArrow(_summed, "block int, n long, values binary"), "parameters"
     )
     for row in blocks.collect():  # one row per array of parameters
         shape = model.parameters[row["block"]].shape
