@@ -270,10 +270,14 @@ def near_groups(
     )
 
 
-def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one of each group: that with the least id. Columns as they were."""
-    groups = stage(near_groups(docs, doc_id, text), "near-decisions")
+def keep_firsts(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group of the stored table ``groups``: that with the least id."""
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("first_key"))
     rest = keep_rows(docs, groups.where(~stays), doc_id, text)
     twins = groups.where(stays).groupBy("doc_id", "key").count().where("count > 1")
     return single_rows(rest, stage(twins.select("doc_id", "key"), "near-twins"), doc_id, text)
+
+
+def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, one of each group: that with the least id. Columns as they were."""
+    return keep_firsts(docs, stage(near_groups(docs, doc_id, text), "near-decisions"), doc_id, text)
