@@ -53,6 +53,20 @@ def test_templates_merge_and_bad_ones_go(spark):
     assert {r["template"] for r in found if "/pills/" in r["path"]} == {"/pills/*"}
 
 
+def test_bad_ones_go_at_any_depth(spark):
+    rows = []
+    for k in range(60):
+        rows += [(f"http://h.x/2024/en/a/b/c/good/{k}", False), (f"http://h.x/2024/en/a/b/c/news/{k}", False)]
+        rows += [(f"http://h.x/2024/en/a/b/c/pills/{k}", True), ("http://h.x/" + "x/" * 3000 + str(k), False)]
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, b) for k, (_, b) in enumerate(rows) if k // 4 % 2], "page_id long, bad boolean")
+    found = urls.judge_urls(pages, rules(spark), labels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r["verdict"] == "block") == ("/pills/" in r["path"])
+    assert len({r["template"] for r in found if "/pills/" in r["path"]}) == 1
+
+
 def test_empty(spark):
     table = empty(spark).selectExpr("doc_id AS page_id", "text AS url")
     assert urls.judge_urls(table, rules(spark), no_labels(spark)).count() == 0

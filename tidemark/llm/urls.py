@@ -7,7 +7,8 @@ from their siblings' are merged into the wildcard branch, so that a template is
 remains of a path. A template is rejected when its share of bad labelled pages, smoothed
 towards its host's and that towards the whole, is above a bound.
 
-A level costs one sum by branch and one join of rows with the branches that stay apart.
+A level costs one sum by branch and one join of rows with the branches that stay apart;
+only rows whose branch can still split go on to the next.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import broadcast_if_small, stage
 
-#: Segments from this one on are taken as one.
-DEPTH = 4
 VARIABLE = r"^(?:[0-9]+|[0-9]+[.][a-z0-9]+|[0-9a-f-]{16,}|[0-9]{4}-[0-9]{2}(?:-[0-9]{2})?)$"
 WILDCARD = "*"
 #: Branches further than this from their siblings' share of bad pages stay apart.
@@ -69,31 +68,48 @@ def apply_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def path_templates(rows: DataFrame) -> DataFrame:
-    """Adds ``template`` to rows with ``host``, ``path`` and ``bad`` (null: no label)."""
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/", DEPTH)
+    """Adds ``template`` to rows with ``host``, ``path`` and ``bad`` (null: no label).
+
+    Every depth is treated alike. Below a branch with so few labels of either kind that
+    no part of it could differ from the rest, all levels are wildcards at once.
+    """
+    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
     plain = F.transform(segments, lambda s: F.when(s.rlike(VARIABLE), F.lit(WILDCARD)).otherwise(s))
     rows = rows.withColumns({"segments": plain, "template": F.lit("")})
-    for level in range(DEPTH):
-        rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
-        here = rows.where(F.col("segment").isNotNull())
+    columns = [c for c in rows.columns if c != "segments"]
+    done, level = None, 0
+    while True:
+        here = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = here.groupBy("host", "template", "segment").agg(
             F.count("bad").alias("n"), F.sum(F.col("bad").cast("long")).alias("k")
         )
+        branches = stage(branches, "url-counts")
         total = branches.groupBy("host", "template").agg(
             F.sum("n").alias("all_n"), F.sum("k").alias("all_k")
         )
+        # The part that differs most holds all pages of one kind and no others.
+        mixed = (F.col("all_k") > 0) & (F.col("all_k") < F.col("all_n"))
+        splits = mixed & (F.greatest(F.col("all_k"), F.col("all_n") - F.col("all_k")) > DEVIATIONS**2)
+        total = stage(total.where(splits).withColumn("open", F.lit(True)), "url-open")
         share = F.col("all_k") / F.col("all_n")
         spread = F.sqrt(share * (1 - share) / F.col("n"))
         apart = (F.col("n") > 0) & (F.abs(F.col("k") / F.col("n") - share) > DEVIATIONS * spread)
         stays = branches.join(total, ["host", "template"]).where(apart & (F.col("segment") != WILDCARD))
         stays = stage(stays.select("host", "template", "segment", F.lit(True).alias("stays")), "url-branches")
-        rows = rows.join(broadcast_if_small(stays, 20_000), ["host", "template", "segment"], "left")
-        step = F.when(F.col("stays"), F.col("segment")).otherwise(WILDCARD)
-        template = F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), step)
-        )
-        rows = stage(rows.withColumn("template", template).drop("segment", "stays"), "url-level")
-    return rows.drop("segments")
+        here = here.join(broadcast_if_small(stays, 20_000), ["host", "template", "segment"], "left")
+        here = here.join(broadcast_if_small(total.select("host", "template", "open"), 20_000), ["host", "template"], "left")
+        rest = F.repeat(F.lit("/" + WILDCARD), F.size("segments") - level)
+        step = F.concat(F.lit("/"), F.when(F.col("stays"), F.col("segment")).otherwise(WILDCARD))
+        template = F.concat("template", F.when(F.col("open"), step).otherwise(rest))
+        here = here.withColumn("template", template)
+        here = here.withColumn("further", F.col("open").isNotNull() & (F.size("segments") > level + 1))
+        here = stage(here.select(*columns, "segments", "further"), "url-level")
+        ended = here.where(~F.col("further")).select(columns)
+        done = ended if done is None else done.unionAll(ended)
+        rows = here.where("further").drop("further")
+        if rows.isEmpty():
+            return done
+        level += 1
 
 
 def judge_urls(
