@@ -41,3 +41,14 @@ def test_no_python_and_empty(spark):
     assert quality.judge_quality(empty(spark)).count() == 0
     plan = quality.counts(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_equal_hashes_are_compared_by_words(spark, monkeypatch):
+    """Windows of one hash that differ are no repeats, however many bits it has."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(quality, "_window_hash", lambda a, b, c: F.length(a).cast("long"))
+    texts = ["one two six ten red", "a b c d e f a b", "same same same same"]
+    table = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r["n_repeat_words"] for r in quality.counts(table).collect()}
+    assert found == {0: 0, 1: 0, 2: 4}

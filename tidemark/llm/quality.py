@@ -45,28 +45,32 @@ def _without(text: Column, members: str) -> Column:
     return F.regexp_replace(text, f"[{members}]+", "")
 
 
+def _window_hash(a: Column, b: Column, c: Column) -> Column:
+    return F.xxhash64(a, b, c)
+
+
 def _repeat_words(w: str) -> dict[str, Column]:
     """Steps to the number of words in three-word windows found twice or more.
 
-    The low bits of a window's hash give way to its place, so that one sort of longs
-    brings equal windows together with their places.
+    One sort of windows' hashes with their places brings equal windows together;
+    neighbours of equal hash are compared by their words.
     """
     size = F.size(w)
-    places = F.ceil(F.log2(size + 1.0)).cast("int")
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), places) - F.lit(1)
     starts = F.when(size < 3, F.array().cast("array<string>")).otherwise(
         F.slice(w, 1, F.greatest(size - 2, F.lit(0)))
     )
 
     def key(word, i):
-        h = F.xxhash64(word, F.get(w, i + 1), F.get(w, i + 2))
-        return h.bitwiseAND(F.bitwise_not("mask")).bitwiseOR(i.cast("long"))
+        return F.struct(_window_hash(word, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))
 
     def same(a, b):
-        return a.bitwiseXOR(b).bitwiseAND(F.bitwise_not("mask")) == 0
+        equal = a["h"] == b["h"]
+        for d in range(3):
+            equal = equal & (F.get(w, a["i"] + d) == F.get(w, b["i"] + d))
+        return equal
 
     def pair(a, b):
-        return F.when(same(a, b), F.array(a, b))
+        return F.when(same(a, b), F.array(a["i"], b["i"]))
 
     size_sorted = F.greatest(F.size("sorted") - 1, F.lit(0))
     def span(p, i):
@@ -76,14 +80,13 @@ def _repeat_words(w: str) -> dict[str, Column]:
         )
 
     return {
-        "mask": mask,
         "starts": starts,
         "keys": F.transform("starts", key),
         "sorted": F.sort_array("keys"),
-        # Neighbours in the sorted keys; a key in two equal pairs counts once.
+        # Neighbours in the sorted keys; a place in two equal pairs counts once.
         "pairs": F.zip_with(F.slice("sorted", 1, size_sorted), F.slice("sorted", 2, size_sorted), pair),
         "hits": F.array_distinct(F.flatten(F.filter("pairs", F.isnotnull))),
-        "places": F.sort_array(F.transform("hits", lambda k: k.bitwiseAND(F.col("mask")))),
+        "places": F.sort_array(F.transform("hits", lambda i: i.cast("long"))),
         "n_repeat_words": F.aggregate(
             F.transform("places", span), F.lit(0).cast("long"), lambda a, b: a + b
         ),
