@@ -8,14 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm import (
+    dialogues,
     exact,
     licences,
     lm,
     mixing,
+    packing,
     quality,
     secrets,
     sentencepiece,
     simhash,
+    spelling,
     substring,
     urls,
 )
@@ -262,6 +265,146 @@ def op10_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: The table of crc32, one row with a list of 256 numbers.
+CRC_TABLE = """crc_table AS (
+        SELECT list(c ORDER BY k) AS crcs FROM (
+            SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, b:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM range(256) t(k)))"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of a text, where ``crcs`` of CRC_TABLE is in reach."""
+    digits = f"list_transform(range(1, strlen({text}) * 2, 2), lambda i: ('0x' || substr(hex({text}), i, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {digits}), {step}), 4294967295)"
+
+
+def op11_trie_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(_documents(spark, sf_dir))
+
+
+OP11_SQL = f"""
+    WITH RECURSIVE {CRC_TABLE},
+    runs AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS doc_id,
+               translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM documents),
+    hashed AS (
+        SELECT run, c, {_crc32("doc_id || ':' || run")} AS code
+        FROM (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL), crc_table),
+    words AS (
+        SELECT CASE WHEN code % {spelling.DAMAGE} = 0
+                    THEN substr(run, 1, code % length(run)) || substr(run, code % length(run) + 2) ELSE run END AS word,
+               sum(c)::BIGINT AS n
+        FROM hashed GROUP BY 1
+        HAVING length(word) >= {spelling.LEAST_LENGTH} AND n >= {spelling.LEAST_COUNT}),
+    less AS (
+        SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS (
+        SELECT a.word, b.word AS near FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+        UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+    ranked AS (
+        SELECT p.word, near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+               row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, near) AS place
+        FROM pairs p JOIN words b ON p.near = b.word),
+    judged AS (
+        SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.FORM_FACTOR} * n THEN near END AS form,
+               CASE WHEN near_n >= {spelling.FORM_FACTOR} * n THEN near_n END AS form_n
+        FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+    roots AS (
+        SELECT word, word AS root, form AS next FROM judged
+        UNION ALL SELECT r.word, j.word, j.form FROM roots r JOIN judged j ON r.next = j.word)
+    SELECT j.word, form, root, n, n_near, form_n
+    FROM judged j JOIN roots r ON j.word = r.word AND r.next IS NULL"""
+
+
+def op12_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    packed = packing.pack(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return dialogues.repair(dialogues.damage(conversations), conversations)
+
+
+def _op13_sql() -> str:
+    gap = "\\x20\\x09-\\x0D"
+    costs = {"D": dialogues.DELETE, "I": dialogues.INSERT, "K": 0, "R": dialogues.REROLE}
+
+    def after(state: str, letter: str, line: str | None = None, when: str | None = None) -> str:
+        """A state's cost, edits and lines after one more edit."""
+        extra = f" + CASE WHEN fault = {dialogues.TRUNCATED} THEN {dialogues.CUT_SHORT} ELSE 0 END" if letter in "KR" else ""
+        lines = f"{state}.r" if line is None else f"{state}.r || CASE WHEN {state}.r = '' THEN '' ELSE chr(10) END || {line}"
+        made = f"{{'c': {state}.c + {costs[letter]}{extra}, 'a': {state}.a || '{letter}', 'r': {lines}}}"
+        return made if when is None else f"CASE WHEN {when} THEN {made} ELSE {far} END"
+
+    far = "{'c': 1000000000000, 'a': 'Z', 'r': ''}"
+
+    def least(*states: str) -> str:
+        return f"list_sort([{', '.join(states)}])[1]"
+
+    def keep(state: str, initial: str) -> str:
+        return after(state, "K", "role || ':' || text", f"fault <> {dialogues.UNFIT} AND left(role, 1) = '{initial}'")
+
+    def rerole(state: str, role: str) -> str:
+        return after(state, "R", f"'{role}:' || text", f"fault <> {dialogues.UNFIT}")
+
+    closed_2 = least("x2", *(after(s, "I", "'user:'") for s in ("x0", "x1", "x3")))
+    return f"""
+    WITH RECURSIVE {CRC_TABLE},
+    coded AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS code
+        FROM conversations, crc_table),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+               CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+        FROM coded WHERE code <> 0),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+    faulted AS (
+        SELECT *, NOT regexp_matches(text, '[^{gap}]') AS blank,
+               row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS late,
+               NOT regexp_matches(text, '[.!?][{gap}]*\\z') AS cut_short,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+        FROM numbered),
+    turns AS (
+        SELECT *, CASE WHEN blank OR late THEN {dialogues.UNFIT} WHEN cut_short THEN {dialogues.TRUNCATED}
+                       ELSE {dialogues.FINE} END AS fault
+        FROM faulted),
+    told AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (blank) AS blank, count(*) FILTER (late AND NOT blank) AS duplicate,
+               count(*) FILTER (fault = {dialogues.TRUNCATED}) AS truncated,
+               count(*) FILTER (earlier || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM turns GROUP BY conv_id),
+    walk(conv_id, i, n, s0, s1, s2, s3) AS (
+        SELECT conv_id, 0::BIGINT, n, {{'c': 0::BIGINT, 'a': '', 'r': ''}}, {far}::STRUCT(c BIGINT, a VARCHAR, r VARCHAR),
+               {{'c': 5::BIGINT, 'a': 'I', 'r': 'user:'}}, {{'c': 10::BIGINT, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}}
+        FROM told
+        UNION ALL
+        SELECT conv_id, i, n, x0, x1, y2, {least("x3", after("y2", "I", "'assistant:'"))} FROM (
+            SELECT *, {closed_2} AS y2 FROM (
+                SELECT w.conv_id, t.i, n, {after("s0", "D")} AS x0, {least(after("s1", "D"), keep("s0", "s"))} AS x1,
+                       {least(after("s2", "D"), *(keep(s, "u") for s in ("s0", "s1", "s3")), *(rerole(s, "user") for s in ("s0", "s1", "s3")))} AS x2,
+                       {least(after("s3", "D"), keep("s2", "a"), rerole("s2", "assistant"))} AS x3
+                FROM walk w JOIN turns t ON w.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = w.i + 1))),
+    ended AS (SELECT conv_id, {least("s0", "s3")} AS s FROM walk WHERE i = n)
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s.c, 0)::BIGINT AS cost,
+           coalesce(s.a, '') AS audit, sha256(coalesce(s.r, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN told t ON o.conv_id IS NOT DISTINCT FROM t.conv_id
+    LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -282,4 +425,7 @@ def checks() -> dict[str, tuple[Query, str | None]]:
         "op8_quality_divergence": (op8_quality_divergence, _op8_sql()),
         "op9_licence_tfidf": (op9_licence_tfidf, None),
         "op10_template_tree": (op10_template_tree, None),
+        "op11_trie_spelling": (op11_trie_spelling, OP11_SQL),
+        "op12_best_two_fit": (op12_best_two_fit, None),
+        "op13_checkpointed_repair": (op13_checkpointed_repair, _op13_sql()),
     }
