@@ -7,6 +7,8 @@ of a word lead to a node with so many edits. States without an edit lie on the w
 path, so they need no search: at each level such a state meets the edges beside its own
 path and takes those whose label is one insertion, deletion or replacement away. States
 with their edit spent follow exact labels only. One that takes a last part is a neighbour.
+Edges know the two code points that may follow them, so a state that finds no way on is not
+made.
 
 Each word walks twice, forwards and backwards, and spends its edit in the second half of
 either walk: an edit in the first half is in the second half from behind. Edits are so
@@ -29,6 +31,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word's run loses a code point where this divides its hash.
 DAMAGE = 31
 LEAST_LENGTH, LEAST_COUNT, FORM_FACTOR = 7, 2, 10
+#: Code points an edge knows of what follows it.
+_AHEAD = 2
 #: Below half of the shortest word: each word has a node there.
 _START = LEAST_LENGTH // 2
 
@@ -80,27 +84,40 @@ def _level(walks: DataFrame, depth: int, end: int) -> DataFrame:
     return here.select(
         "word",
         "n",
-        (F.col("spend_from") < end).alias("spends"),
+        "spend_from",
         node(depth).alias("node"),
         F.expr(f"substring(walk, {depth + 1})").alias("rest"),
         F.expr(f"substring(walk, {depth + 1}, {end - depth})").alias("label"),
+        F.expr(f"substring(walk, {end + 1}, {_AHEAD})").alias("ahead"),
         last.alias("last"),
         F.when(~last, node(end)).alias("child"),
     )
 
 
-def _spent(level: DataFrame, edges: DataFrame) -> DataFrame:
+def _edges(level: DataFrame) -> DataFrame:
+    """(node, label, last, child, near, near_n, ways) of a level, each edge once."""
+    keys = [F.when(F.col("last"), F.col(c)).alias(a) for c, a in (("word", "near"), ("n", "near_n"))]
+    # As many ways as there are pairs of letters, whatever the number of words.
+    return level.groupBy("node", "label", "last", "child", *keys).agg(F.collect_set("ahead").alias("ways"))
+
+
+def _goes_on(rest: Column) -> Column:
+    return F.col("last") | F.array_contains("ways", F.substring(rest, 1, _AHEAD))
+
+
+def _spent(level: DataFrame, edges: DataFrame, depth: int, end: int) -> DataFrame:
     """States that spend their edit on this level's edges beside the word's own path."""
-    own = level.where("spends").select("word", "node", "rest")
-    pairs = own.join(edges, "node")
+    same = F.greatest(F.col("spend_from") - depth, F.lit(0)).cast("int")
+    own = level.where(F.col("spend_from") < end).select("word", "node", "rest", same.alias("same"))
+    # What comes before the second half is as in the word itself.
+    pairs = own.join(edges, "node").where(F.expr("substring(rest, 1, same) = substring(label, 1, same)"))
     # A label that is one longer or shorter than what it stands for, or of equal length.
     taken = F.explode(F.sequence(F.greatest(F.length("label") - 1, F.lit(0)), F.length("label") + 1))
     fits = F.when(F.col("last"), F.length("rest") == F.col("taken")).otherwise(F.length("rest") >= F.col("taken"))
     tried = pairs.select("*", taken.alias("taken")).where(fits)
+    left = F.expr("substring(rest, taken + 1)")
     one_edit = F.levenshtein(F.expr("substring(rest, 1, taken)"), F.col("label"), 1) == 1
-    return tried.where(one_edit).select(
-        "word", F.expr("substring(rest, taken + 1)").alias("rest"), "last", "child", "near", "near_n"
-    )
+    return tried.where(_goes_on(left)).where(one_edit).select("word", left.alias("rest"), "last", "child", "near", "near_n")
 
 
 def _followed(states: DataFrame, edges: DataFrame, width: int) -> DataFrame:
@@ -112,7 +129,7 @@ def _followed(states: DataFrame, edges: DataFrame, width: int) -> DataFrame:
         F.expr(f"substring(rest, 1, {width})").alias("label"),
         (F.length("rest") < width).alias("last"),
     )
-    moved = wanted.join(edges, ["node", "label", "last"])
+    moved = wanted.join(edges, ["node", "label", "last"]).where(_goes_on(F.col("rest")))
     return moved.select("word", "rest", "last", "child", "near", "near_n")
 
 
@@ -135,10 +152,8 @@ def near_words(words: DataFrame) -> DataFrame:
     found, states = [], None
     for depth, end in boundaries(longest):
         level = _level(walks, depth, end)
-        near = F.when(F.col("last"), F.col("word"))
-        edges = level.select("node", "label", "last", "child", near.alias("near"), F.when(F.col("last"), F.col("n")).alias("near_n"))
-        edges = edges.repartition("node").distinct()
-        reached = _spent(level, edges)
+        edges = _edges(level)
+        reached = _spent(level, edges, depth, end)
         if states is not None:
             reached = reached.unionAll(_followed(states, edges, end - depth))
         reached = stage(reached, "spelling-level")
