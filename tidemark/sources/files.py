@@ -15,6 +15,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none of one that does not exist."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(conf)
+    return [s.getPath().getName() for s in store.listStatus(target)] if store.exists(target) else []
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete one folder; needs a classic session, as ``path_exists`` does."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
@@ -39,6 +47,21 @@ def read_files(
     return reader.parquet(*paths)
 
 
+def by_schema(spark: SparkSession, folders: Sequence[str]) -> list[DataFrame]:
+    """Parquet folders, those of one schema as one frame.
+
+    A folder is what one write left, so its schema is that of any of its files: one footer
+    is opened per folder, whatever the number of files.
+    """
+    found: dict[str, list[str]] = {}
+    schemas: dict[str, T.StructType] = {}
+    for folder in folders:
+        schema = spark.read.option("recursiveFileLookup", "true").parquet(folder).schema
+        found.setdefault(schema.json(), []).append(folder)
+        schemas[schema.json()] = schema
+    return [read_files(spark, paths, schemas[text]) for text, paths in found.items()]
+
+
 def read_documents(
     spark: SparkSession,
     location: str,

@@ -3,7 +3,7 @@
 Log rows are Parquet files in one folder per logged table and written load. Logging a
 load replaces that load's rows, so a repeat leaves no row of a file that is gone, and
 nothing older is read or rewritten. Files that were processed are noted beside the log,
-row by row; a reader joins the two.
+in an event log per table that is folded to one file; a reader joins the two.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from tidemark.model import FILE_INGEST_LOG, Run
 from tidemark.operators.filelog import file_inventory, pending_files, to_log_rows
 from tidemark.session import few_rows
 from tidemark.sources.files import path_exists
+from tidemark.tables.events import EventLog
 
 PROCESSED = T.StructType(
     [
@@ -62,10 +63,18 @@ class FileLog:
         # One row per written file is little: one log file holds it.
         new.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/files/{table}/load={load}")
 
+    def forget(self, run: Run, table: str, folders: list[str]) -> None:
+        """The files of deleted folders wait for nothing any more; their rows stay."""
+        if folders:
+            below = F.lit(False)
+            for folder in folders:
+                below = below | F.col("FILE_WITH_PATH").startswith(key_below(folder, run.bucket) + "/")
+            self.done(table, self.read(table).where(below & ~F.col("PROCESSED_FLAG")), run.run_ts)
+
     def pending(self, run: Run, table: str) -> DataFrame:
         return pending_files(self.read(table), table, run.scheme)
 
     def done(self, table: str, files: DataFrame, ts: datetime) -> None:
         """Note the files named in ``files`` as processed."""
         notes = files.select("FILE_UID", ntz(ts).alias("processed_at")).distinct()
-        notes.coalesce(1).write.mode("append").parquet(f"{self.root}/processed/{table}")
+        EventLog(self.spark, f"{self.root}/processed/{table}", PROCESSED, ("FILE_UID",)).append(notes)

@@ -1,22 +1,25 @@
 """Tries of checkpoint extracts, so that only a failed one is ever replaced.
 
 A try is noted before it writes, sealed with its next checkpoint before that is moved,
-and closed afterwards. A try that was never closed is unfinished, unless the checkpoint
-it was sealed with is the one now stored: then it only failed to be closed. What
-finished tries wrote is never touched again, whatever the checkpoint does later.
+and closed afterwards. What a run that died has left is settled when the next one starts:
+a try that was never sealed is replaced. A sealed one whose move is stored, or whose
+checkpoint is the one now in force, only failed to be closed, and is closed now, before any
+later move can hide it. Other sealed ones were not moved and are replaced. Where moves are
+kept elsewhere and do not name their try, that is only done if the checkpoint is still
+where the try began: no row that may have been committed is taken back.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.functions.names import object_path
 from tidemark.model import CHECKPOINT_SEPARATOR, ObjectSpec
 from tidemark.operators.checkpoint import escaped
-from tidemark.session import few_rows
-from tidemark.sources.files import path_exists
+from tidemark.tables.events import EventLog
 
 OPEN, SEALED, CLOSED = "open", "sealed", "closed"
 EVENTS = T.StructType(
@@ -24,46 +27,64 @@ EVENTS = T.StructType(
         T.StructField("try_id", T.StringType()),
         T.StructField("event", T.StringType()),
         T.StructField("written_to", T.StringType()),
+        T.StructField("began_at", T.StringType()),
         T.StructField("checkpoint", T.StringType()),
     ]
 )
 
 
+@dataclass(frozen=True)
+class Settled:
+    """Tries of earlier runs: (try_id, written_to) to be replaced, and ids to be closed."""
+
+    replaced: list[tuple[str, str]] = field(default_factory=list)
+    closed: list[str] = field(default_factory=list)
+
+
 class Tries:
     """The tries of one object. One run at a time per object is assumed."""
 
     def __init__(self, spark: SparkSession, root: str, spec: ObjectSpec):
         self.spark = spark
-        self.path = object_path(f"{root}/extract_tries", spec)
-
-    def _note(self, *values: str | None) -> None:
-        few_rows(self.spark, [values], EVENTS).write.mode("append").parquet(self.path)
+        self.log = EventLog(
+            spark, object_path(f"{root}/extract_tries", spec), EVENTS, ("try_id",), f"event = '{CLOSED}'"
+        )
+        self.began_at = stored_text(spec)
 
     def read(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return few_rows(self.spark, [], EVENTS)
-        return self.spark.read.schema(EVENTS).parquet(self.path)
+        """Tries that are not closed."""
+        return self.log.read()
 
     def start(self, written_to: str, try_id: str) -> None:
-        self._note(try_id, OPEN, written_to, None)
-
-    def seal(self, try_id: str, checkpoint: str) -> None:
-        self._note(try_id, SEALED, None, checkpoint)
-
-    def close(self, try_id: str) -> None:
-        self._note(try_id, CLOSED, None, None)
-
-    def unfinished(self, spec: ObjectSpec) -> list[tuple[str, str]]:
-        """(try_id, written_to) of tries to be replaced; at most a handful."""
-        known = [c.value for c in spec.checkpoints]
-        now = None if None in known else join_checkpoint(known)
-        summed = self.read().groupBy("try_id").agg(
-            F.max("written_to").alias("written_to"),
-            F.max("checkpoint").alias("checkpoint"),
-            F.max((F.col("event") == CLOSED).cast("int")).alias("closed"),
-        )
-        left = summed.where((F.col("closed") == 0) & ~F.col("checkpoint").eqNullSafe(F.lit(now)))
-        return sorted((r.try_id, r.written_to) for r in left.collect())
+        self.log.note((try_id, OPEN, written_to, self.began_at, None))
+
+    def seal(self, try_id: str, written_to: str, checkpoint: str) -> None:
+        self.log.note((try_id, SEALED, written_to, self.began_at, checkpoint))
+
+    def close(self, *try_ids: str) -> None:
+        if try_ids:
+            self.log.note(*[(t, CLOSED, None, None, None) for t in try_ids])
+
+    def settle(self, moved: set[str] | None) -> Settled:
+        """What is left of earlier runs.
+
+        ``moved`` are the ids of tries whose move is stored, None where moves have no ids.
+        """
+        found = Settled()
+        for r in sorted(self.read().collect(), key=lambda r: r.position):
+            kept = r.checkpoint == self.began_at
+            kept = kept or (r.began_at != self.began_at if moved is None else r.try_id in moved)
+            if r.event == SEALED and kept:
+                found.closed.append(r.try_id)
+            else:
+                found.replaced.append((r.try_id, r.written_to))
+        return found
+
+
+def stored_text(spec: ObjectSpec) -> str | None:
+    """The checkpoint an object starts from, as one text."""
+    known = [c.value for c in spec.checkpoints]
+    return None if not known or None in known else join_checkpoint(known)
 
 
 def join_checkpoint(values: list[str]) -> str:
