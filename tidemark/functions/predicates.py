@@ -23,12 +23,17 @@ _COMPARE = {
 
 _TIME_TYPES = ("datetime", "timestamp")
 
+#: Ends the text of a time that is an instant, in UTC; times without it have no zone.
+UTC_MARK = "Z"
+
 
 def _literal(spec: CheckpointSpec, value: str | None) -> Column:
     if value is None or value == "":
         raise ValueError(f"checkpoint field {spec.field!r} has no stored value")
     kind = spec.type.strip().lower()
     if kind in _TIME_TYPES:
+        if value.endswith(UTC_MARK):
+            return F.lit(value).cast("timestamp")
         return F.lit(value).cast("timestamp_ntz")
     if kind == "numeric":
         # An integer literal keeps an integral column uncast, which pushdown needs.

@@ -28,21 +28,48 @@ def row_json(
 ) -> Column:
     """JSON text of the given columns, in order; null fields are left out.
 
-    With ``schema`` the entries of maps are put in order of their keys.
+    With ``schema`` equal maps give equal text, at whatever depth they lie.
     """
     kinds = {f.name: f.dataType for f in schema or ()}
-    fields = [ordered_maps(c, kinds.get(c)) for c in columns]
+    fields = [canonical(ref(c), kinds.get(c)).alias(c) for c in columns]
     return F.to_json(F.struct(*fields), options or JSON_OPTIONS)
 
 
-def ordered_maps(name: str, kind: T.DataType | None) -> Column:
-    """A column with the entries of its map in the order of their keys.
+def _holds_map(kind: T.DataType | None) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.MapType)
 
-    Equal maps may be stored in different orders and must still hash alike.
+
+#: Key types whose text is the same wherever it is made; other maps become lists of entries.
+_PLAIN_KEYS = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DecimalType)
+
+
+def canonical(value: Column, kind: T.DataType | None) -> Column:
+    """A value in which the entries of every map stand in the order of their keys.
+
+    Equal maps may be stored in different orders and must still hash alike. The expression
+    follows the type: only the parts that hold a map are built anew, and maps are sorted by
+    key alone, so their values may have no order.
     """
-    if not isinstance(kind, T.MapType):
-        return ref(name)
-    return F.map_from_entries(F.array_sort(F.map_entries(ref(name)))).alias(name)
+    if not _holds_map(kind):
+        return value
+    if isinstance(kind, T.StructType):
+        fields = [canonical(value.getField(f.name), f.dataType).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: canonical(v, kind.elementType))
+    places = F.transform(F.map_keys(value), lambda k, i: F.struct(k.alias("key"), i.alias("at")))
+    values = F.map_values(value)
+
+    def entry(place: Column) -> Column:
+        held = canonical(F.get(values, place["at"]), kind.valueType)
+        return F.struct(place["key"].alias("key"), held.alias("value"))
+
+    entries = F.transform(F.array_sort(places), entry)
+    return F.map_from_entries(entries) if isinstance(kind.keyType, _PLAIN_KEYS) else entries
 
 
 def row_hash(columns: Iterable[str], schema: T.StructType | None = None) -> Column:

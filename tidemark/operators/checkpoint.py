@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tidemark.functions.rows import cut_to_second, ref
+from tidemark.functions.predicates import UTC_MARK
+from tidemark.functions.rows import cut_to_second, ref, utc_wall_clock
 from tidemark.model import (
     BRONZE,
     CHECKPOINT_PART_SEPARATOR,
@@ -120,26 +121,31 @@ def specs_of(definition: str | None, values: str | None) -> tuple[CheckpointSpec
     return tuple(specs)
 
 
-def _greatest_text(df: DataFrame, name: str, precision: str | None) -> Column:
+def _greatest_text(df: DataFrame, name: str, precision: str | None, marked: bool) -> Column:
     top = F.max(ref(name))
     kind = df.select(ref(name)).schema[0].dataType
-    if isinstance(kind, T.TimestampType):
-        # Same wall clock as the zone-free literal the next read compares with.
-        top = top.cast("timestamp_ntz")
+    zoned = isinstance(kind, T.TimestampType)
+    if zoned:
+        # An instant that is marked as UTC is read back alike by any session. Without a mark
+        # it is the wall clock of this session, as is the zone-free literal it is compared with.
+        top = utc_wall_clock(top) if marked else top.cast("timestamp_ntz")
     if precision == "second" and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         top = cut_to_second(top)
-    return top.cast("string")
+    return F.concat(top.cast("string"), F.lit(UTC_MARK)) if zoned and marked else top.cast("string")
 
 
 def next_checkpoint(
-    df: DataFrame, fields: Sequence[str], precision: str | None = None
+    df: DataFrame, fields: Sequence[str], precision: str | None = None, marked: bool = False
 ) -> DataFrame:
     """One row: ``checkpoint`` (maxima joined with ``|``) and ``row_count``.
 
+    ``marked`` writes instants as UTC times with a mark, for sessions of any zone to read;
+    what the flows store is always marked.
+
     All fields share one aggregation. An empty slice, or a field without any
     value, gives a null checkpoint, which moves nothing.
     """
-    tops = [_greatest_text(df, f, precision) for f in fields]
+    tops = [_greatest_text(df, f, precision, marked) for f in fields]
     return df.agg(
         F.array(*tops).alias("tops"), F.count(F.lit(1)).alias("row_count")
     ).select(
@@ -166,12 +172,12 @@ def observe_checkpoint(
     seen = Observation()
     if bucketed and len(specs) > 1:
         if len(specs) > 2:
-            tops = [_greatest_text(df, specs[2].field, precision)]
+            tops = [_greatest_text(df, specs[2].field, precision, True)]
         else:
             year, month = (ref(s.field).cast("string") for s in specs)
             tops = [F.max(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0")))]
     else:
-        tops = [_greatest_text(df, s.field, precision) for s in specs]
+        tops = [_greatest_text(df, s.field, precision, True) for s in specs]
     metrics = [top.alias(f"top_{i}") for i, top in enumerate(tops)]
     return df.observe(seen, F.count(F.lit(1)).alias("row_count"), *metrics), seen
 
