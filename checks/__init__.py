@@ -2,10 +2,10 @@
 
 
 def registry():
-    from checks import changes, checkpoints, files, flows, repeats, tables, transforms
+    from checks import changes, checkpoints, evolution, files, flows, recovery, repeats, retention, tables, transforms
 
     found = {}
-    for module in (transforms, changes, checkpoints, files, tables, flows, repeats):
+    for module in (transforms, changes, checkpoints, files, tables, flows, repeats, recovery, evolution, retention):
         for name, check in module.checks().items():
             if name in found:
                 raise ValueError(f"query {name!r} is registered twice")

@@ -153,7 +153,8 @@ class Run:
     """One ingestion run: a single injected UTC time serves stamps and paths alike.
 
     ``files`` asks for that many output files per write; without it a write keeps
-    the partitioning it already has and needs no shuffle.
+    the partitioning it already has and needs no shuffle. Of full copies those of the
+    ``keep_hours`` latest run hours are kept, with None all of them.
     """
 
     run_ts: datetime
@@ -162,6 +163,7 @@ class Run:
     database: str = "lakehouse"
     files: int | None = None
     max_records_per_file: int = 20_000_000
+    keep_hours: int | None = 3
     region_rule: RegionRule = field(default_factory=RegionRule)
 
     def __post_init__(self):

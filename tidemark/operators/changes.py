@@ -137,3 +137,23 @@ def region_semi_filter(
     return child.join(broadcast_if_small(wanted, broadcast_rows), child_key, "left_semi").select(
         *map(ref, child.columns)
     )
+
+
+def region_semi_pruned(
+    child: DataFrame,
+    parent: DataFrame,
+    child_key: str,
+    parent_key: str,
+    column: str,
+    region: str,
+    mapping: Mapping[str, Sequence[str]] = MARKET_REGIONS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``region_semi_filter`` of a child stored in partitions by its key.
+
+    The filter of the parent is worked out first, while the query runs, and only the
+    child's partitions of wanted keys are read. That needs the keys at every task, so they
+    are counted; of too many, a shuffle join reads all partitions.
+    """
+    wanted = region_filter(parent, column, region, mapping).select(ref(parent_key).alias(child_key)).distinct()
+    return child.join(broadcast_if_small(wanted, broadcast_rows), child_key, "left_semi").select(*map(ref, child.columns))

@@ -115,12 +115,17 @@ def expired_files(inventory: DataFrame, keep: int = 3, group: str = "table_name"
     hour, which spreads a group that owns most of the files.
     """
     stamped = inventory.withColumn("run_hour", cut_to_hour(F.col("modified")))
+    expired = expired_hours(stamped, keep, group)
+    return stamped.join(expired, [group, "run_hour"], "left_semi").select(*inventory.columns)
+
+
+def expired_hours(files: DataFrame, keep: int = 3, group: str = "table_name") -> DataFrame:
+    """(group, run_hour) of the hours before the ``keep`` latest ones of each group."""
     latest_first = Window.partitionBy(group).orderBy(F.col("run_hour").desc())
-    expired = (
-        stamped.select(group, "run_hour")
+    return (
+        files.select(group, "run_hour")
         .distinct()
         .withColumn("rank", F.dense_rank().over(latest_first))
         .where(F.col("rank") > keep)
         .select(group, "run_hour")
     )
-    return stamped.join(expired, [group, "run_hour"], "left_semi").select(*inventory.columns)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from tidemark.functions.names import database_name, target_name_of
+from tidemark.functions.rows import ref
 from tidemark.model import (
     BRONZE,
     CASSANDRA,
@@ -15,6 +16,7 @@ from tidemark.model import (
     FULL_EXTRACT,
     FULL_EXTRACT_INCR,
     FULL_LOAD,
+    HASH,
     HASH_VERSION,
     INCR_LOAD,
     KEY_INCR_EXTRACT,
@@ -36,16 +38,18 @@ from tidemark.operators.transforms import (
     with_row_hash,
 )
 from tidemark.plans.lander import land_pending
+from tidemark.session import stage
 from tidemark.sources.readers import Loader, read_source
 from tidemark.sources.files import path_exists
 from tidemark.tables.appends import AppendTable
-from tidemark.tables.checkpoints import CheckpointMoves, carried_config, latest_moves
-from tidemark.tables.hours import load_path, write_load
+from tidemark.tables.checkpoints import OBJECT, CheckpointMoves, carried_config, current_moves
+from tidemark.tables.hashes import HashIndexes
+from tidemark.tables.hours import expire_loads, load_path, write_load
 from tidemark.tables.log import FileLog
-from tidemark.tables.snapshots import REPLACE, VersionedTable, write_parquet
+from tidemark.tables.snapshots import BACKUP_HOURS, REPLACE, VersionedTable, write_parquet
 from tidemark.tables.tries import Tries, new_try
 
-Advance = Callable[[ObjectSpec, str], None]
+Advance = Callable[[ObjectSpec, str], None] | CheckpointMoves
 
 
 @dataclass(frozen=True)
@@ -122,10 +126,15 @@ def full_extract(source: DataFrame, spec: ObjectSpec, stores: Stores) -> Outcome
         table = stores.lakehouse(spec.target_table)
         rows = with_ingest_ts(renamed, run.run_ts, truncate=False)
         table.replace(lowercase_columns(rows), run.hour)
+        table.retire()
         return Outcome(spec.source_table, spec.target_table, FULL_EXTRACT, table.path)
     folder = write_load(with_ingest_ts(renamed, run.run_ts), run, spec.target_table, FULL_LOAD)
     stores.log.record(run, spec.target_table, folder)
     landed = _land_if_configured(spec, stores)
+    if run.keep_hours is not None:
+        # A later full copy replaces an earlier one; those beyond the kept hours go.
+        gone = expire_loads(stores.spark, run, spec.target_table, FULL_LOAD, run.keep_hours)
+        stores.log.forget(run, spec.target_table, gone)
     return Outcome(
         spec.source_table, spec.target_table, FULL_EXTRACT, folder, landed_files=landed
     )
@@ -135,27 +144,29 @@ def full_extract_incr(
     source: DataFrame,
     spec: ObjectSpec,
     stores: Stores,
-    limits: DiffLimits = DiffLimits(),
+    limits: DiffLimits | None = None,
 ) -> Outcome:
     """Keep a full snapshot and, of it, the rows the last one lacked.
 
-    The source is read once, into an unpublished snapshot; the comparison then
-    works on stored files. Only when snapshot and increment are both complete is
-    the snapshot published, so a failed run leaves the previous one current.
+    The source is read once, into an unpublished snapshot with an index of its hashes; the
+    comparison then works on the stored indexes. Only when snapshot and increment are both
+    complete is the snapshot published, so a failed run leaves the previous one current.
     A snapshot hashed by another rule cannot be compared: then all rows count as
-    new, as on a first load.
+    new, as on a first load. ``limits`` compares the snapshots' rows instead, without an
+    index of the earlier one.
     """
     run = stores.run
     table = VersionedTable(stores.spark, run.root, spec.target_table)
-    hashed = with_ingest_ts(with_row_hash(rename_reserved(source)), run.run_ts)
-    snapshot_id, schema = table.write(hashed, run.files, run.max_records_per_file)
+    hashed, seen = with_ingest_ts(with_row_hash(rename_reserved(source)), run.run_ts), Observation()
+    counted = hashed.observe(seen, F.count(F.lit(1)).alias("rows"))
+    snapshot_id, schema = table.write(counted, run.files, run.max_records_per_file)
     current = stores.spark.read.schema(schema).parquet(table.snapshot_path(snapshot_id))
+    indexes = HashIndexes(stores.spark, f"{table.path}/hash_index")
+    indexes.write(current, snapshot_id, seen.get["rows"])
 
     base = table.before(run.hour)
-    comparable = base is not None and base.hash_version == HASH_VERSION
-    previous = table.read(base.snapshot_id) if comparable else None
-    fresh = new_rows(current, previous, limits)
-    if previous is not None:
+    fresh = _fresh_rows(table, indexes, snapshot_id, current, base, limits)
+    if base is not None:
         # Few rows out of a long scan: gather them, or each scan task leaves a crumb.
         fresh = fresh.hint("rebalance")
     folder = write_load(fresh, run, spec.target_table, INCR_LOAD)
@@ -165,18 +176,43 @@ def full_extract_incr(
     stores.log.record(run, spec.target_table, folder)
     table.publish(snapshot_id, schema, REPLACE, run.hour, parent=table.current())
     table.retire()
+    # One more hour than of snapshots: what a repeat of the oldest kept hour compares with.
+    indexes.retire(table.of_latest_hours(BACKUP_HOURS + 1))
     landed = _land_if_configured(spec, stores)
     return Outcome(
         spec.source_table, spec.target_table, FULL_EXTRACT_INCR, folder, landed_files=landed
     )
 
 
+def _fresh_rows(
+    table: VersionedTable,
+    indexes: HashIndexes,
+    snapshot_id: int,
+    current: DataFrame,
+    base: Row | None,
+    limits: DiffLimits | None,
+) -> DataFrame:
+    """The rows of a written snapshot that its base lacks, copies included, hash first."""
+    rows = current.select(HASH, *[ref(c) for c in current.columns if c != HASH])
+    stored = base is not None and path_exists(table.spark, table.snapshot_path(base.snapshot_id))
+    if base is None or base.hash_version != HASH_VERSION:
+        return rows
+    if stored and (limits is not None or not indexes.has(base.snapshot_id)):
+        return new_rows(current, table.read(base.snapshot_id), limits or DiffLimits())
+    if not indexes.has(base.snapshot_id):
+        return rows
+    fresh = stage(indexes.new_hashes(snapshot_id, base.snapshot_id), "new-hashes")
+    # The planner knows the size of the stored hashes: few of them are sent to the rows.
+    return rows.join(fresh, HASH, "left_semi")
+
+
 def key_incr_extract(
     source: DataFrame, spec: ObjectSpec, stores: Stores, advance: Advance
 ) -> Outcome:
     """Append the slice beyond the checkpoint, then move the checkpoint.
 
-    The new checkpoint and the row count are observed by the write itself. If the
+    The new checkpoint and the row count are observed by the write itself. ``advance``
+    moves it: stored moves, which know the try that made them, or a function. If the
     checkpoint cannot be moved, an append to a lakehouse table is taken back. Tries that
     were never finished are replaced by this one; what a finished one wrote stays, even
     if the checkpoint is set back or does not move. A slice with rows but no value for a
@@ -201,7 +237,10 @@ def key_incr_extract(
             stores.log.record(run, spec.target_table, written_to)
         tries.close(earlier)
 
-    for earlier, written_to in tries.unfinished(spec):
+    stored = isinstance(advance, CheckpointMoves)
+    left = tries.settle(advance.made_by(spec) if stored else None)
+    tries.close(*left.closed)
+    for earlier, written_to in left.replaced:
         take_back(earlier, written_to)
 
     where = table.path if lake else load_path(run, spec.target_table, KEY_INCR_LOAD, try_id)
@@ -214,11 +253,15 @@ def key_incr_extract(
 
     checkpoint, rows_seen = observed_value(seen, spec.checkpoints)
     if rows_seen and checkpoint is not None:
-        tries.seal(try_id, checkpoint)
+        tries.seal(try_id, where, checkpoint)
         try:
-            advance(spec, checkpoint)
+            if stored:
+                advance.advance(spec, checkpoint, try_id)
+            else:
+                advance(spec, checkpoint)
         except Exception:
-            if lake:
+            # A move that was stored although it failed is a move.
+            if lake and not (stored and try_id in advance.made_by(spec)):
                 take_back(try_id, where)
             raise
     if not rows_seen or checkpoint is not None:
@@ -252,9 +295,20 @@ def ingest(
     """
     active = active_objects(config, namespace, proc_group, (BRONZE, LANDER))
     moves = CheckpointMoves(stores.spark, stores.run.root)
-    specs = object_specs(active, latest_moves(moves.read()))
+    specs = object_specs(active, current_moves(moves.read()))
     try:
-        return [ingest_object(s, loaders, stores, moves.advance) for s in specs]
+        return [ingest_object(s, loaders, stores, moves) for s in specs]
     finally:
         if save_config is not None:
-            save_config(carried_config(config, moves.read()))
+            made = moves.read()
+            save_config(carried_config(config, made))
+            _end_moves(specs, moves, made)
+
+
+def _end_moves(specs: list[ObjectSpec], moves: CheckpointMoves, made: DataFrame) -> None:
+    """Note that the configuration holds what the moves of these objects led to."""
+    last = {tuple(r[c] for c in OBJECT): r for r in current_moves(made).collect()}
+    for spec in specs:
+        row = last.get((spec.namespace, spec.source_table, spec.proc_group, spec.target_table))
+        if row is not None and row.configured == spec.configured_checkpoint != row.checkpoint:
+            moves.saved(spec, row.checkpoint)

@@ -11,14 +11,15 @@ from tidemark.model import FULL_EXTRACT, FULL_EXTRACT_INCR, NOT_AVAILABLE, Run
 from tidemark.operators.filelog import files_since, latest_hour_files
 from tidemark.operators.transforms import drop_technical, to_src
 from tidemark.session import stage
-from tidemark.sources.files import read_files
+from tidemark.sources.files import by_schema, read_files
 from tidemark.tables.log import FileLog
 from tidemark.tables.snapshots import VersionedTable
 
 
 def land(df: DataFrame, target: VersionedTable, run: Run) -> None:
-    """Replace the rows of the raw target in one step."""
+    """Replace the rows of the raw target in one step; old contents go after some hours."""
     target.replace(df, run.hour, max_records=run.max_records_per_file)
+    target.retire()
 
 
 def land_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
@@ -72,7 +73,8 @@ def land_pending(
     """Land the files of a table that are due, then mark them. Returns their number.
 
     Load folders come to the driver, a few per hour; files are picked by a semi-join of
-    their rows with the log. Full copies that a later one replaced are marked as well. The
+    their rows with the log. Each folder is read in its own schema, since columns may
+    have been added or retyped between two loads. Full copies that a later one replaced are marked as well. The
     log is marked after the target is published: a crash between the two lands the same
     files again into a target that is replaced, never doubled.
     """
@@ -82,10 +84,13 @@ def land_pending(
     folders = [r[0] for r in due.select(folder).distinct().collect()]
     if not folders:
         return 0
-    rows = read_files(spark, [f"{run.root}/{f}" for f in sorted(folders)])
-    named = rows.withColumn("__file", relative_path(F.col("_metadata.file_path"), run.bucket))
-    picked = named.join(due, F.col("__file") == F.col("FILE_WITH_PATH"), "left_semi").drop("__file")
-    land(to_src(drop_technical(picked)), target, run)
+    landed = None
+    for rows in by_schema(spark, [f"{run.root}/{f}" for f in sorted(folders)]):
+        named = rows.withColumn("__file", relative_path(F.col("_metadata.file_path"), run.bucket))
+        picked = named.join(due, F.col("__file") == F.col("FILE_WITH_PATH"), "left_semi").drop("__file")
+        src = to_src(drop_technical(picked))
+        landed = src if landed is None else landed.unionAll(src)
+    land(landed, target, run)
     done = due.select("FILE_UID")
     if method == FULL_EXTRACT:
         done = done.unionAll(logged.where(~F.col("PROCESSED_FLAG")).select("FILE_UID"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.functions.predicates import bucketed_checkpoint_predicate, checkpoint_predicate
 from tidemark.model import (
@@ -27,6 +27,7 @@ from tidemark.model import (
 from tidemark.operators.changes import region_filter, region_semi_filter
 from tidemark.operators.transforms import void_to_string, with_region_tag
 from tidemark.sources.files import read_documents
+from tidemark.sources.ranges import range_predicates, split_points
 
 # Driver classes and connector names as their makers publish them.
 JDBC_DRIVERS = {
@@ -113,11 +114,25 @@ def bounded(spark: SparkSession, spec: JdbcSpec) -> JdbcSpec:
     return whole if low is None else replace(spec, lower_bound=low, upper_bound=high)
 
 
+def read_ranges(spark: SparkSession, spec: JdbcSpec, where: Column | None = None) -> DataFrame:
+    """Read a table by one query per range of its partition column, ranges of equal depth.
+
+    The points are quantiles of the slice ``where``, for which one column of it is read.
+    """
+    plain = replace(spec, partition_column=None, num_partitions=None)
+    points = split_points(read_jdbc(spark, plain), spec.partition_column, spec.num_partitions, where)
+    options = {k: v for k, v in plain.reader_options().items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(
+        spec.url, spec.table, predicates=range_predicates(spec.partition_column, points), properties=options
+    )
+
+
 def jdbc_loader(base: JdbcSpec, splits: Mapping[str, tuple[str, int]] | None = None) -> Loader:
     """Reads ``source_table`` of an object through ``base``.
 
     ``splits`` names the column and the number of range queries of the tables to
-    be read in parallel; a table without an entry is read by one task.
+    be read in parallel; a table without an entry is read by one task. The ranges of a
+    checkpoint slice are cut by its own quantiles, those of a whole table by its bounds.
     """
 
     def load(spark: SparkSession, spec: ObjectSpec) -> DataFrame:
@@ -129,6 +144,9 @@ def jdbc_loader(base: JdbcSpec, splits: Mapping[str, tuple[str, int]] | None = N
         )
         if splits and spec.source_table in splits:
             column, count = splits[spec.source_table]
+            if spec.extract_method == KEY_INCR_EXTRACT and spec.checkpoints:
+                slice_of = replace(found, partition_column=column, num_partitions=count)
+                return read_ranges(spark, slice_of, checkpoint_predicate(spec.checkpoints))
             found = bounded(spark, replace(found, partition_column=column, num_partitions=count))
         return read_jdbc(spark, found)
 

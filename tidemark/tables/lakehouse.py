@@ -51,6 +51,9 @@ class LakehouseTable:
         named = aligned_names(df, self.read().columns)
         named.writeTo(self.identifier).overwrite(F.lit(True))
 
+    def retire(self) -> None:
+        """Nothing: the runtime expires snapshots by the table's own properties."""
+
     def rollback(self, to_empty: bool = False) -> None:
         """Back to the parent of the current snapshot."""
         current = self.snapshots().agg(

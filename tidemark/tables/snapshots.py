@@ -228,6 +228,12 @@ class VersionedTable:
             {"operation": ROLLBACK, **({k: parent[k] for k in kept} if parent else {})}
         )
 
+    def of_latest_hours(self, keep: int) -> set[int]:
+        """Ids of the snapshots made in the ``keep`` latest run hours, or in no hour."""
+        made = {r.snapshot_id: r.run_hour for r in self.history() if r.operation != ROLLBACK}
+        hours = sorted({h for h in made.values() if h is not None}, reverse=True)[:keep]
+        return {i for i, hour in made.items() if hour is None or hour in hours}
+
     def retire(self, keep: int = BACKUP_HOURS) -> list[int]:
         """Delete superseded snapshots beyond the ``keep`` latest run hours.
 
