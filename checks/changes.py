@@ -84,7 +84,7 @@ def incremental_diff_duplicates(spark, sf_dir):
 
 def incremental_diff_micros(spark, sf_dir):
     """Rows that differ from the earlier copy by microseconds only count as new."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    events = table(spark, sf_dir, "events")
     previous = events.withColumn(
         "ts",
         F.when(
@@ -153,7 +153,7 @@ def checks():
         ),
         "incremental_diff_micros": (
             incremental_diff_micros,
-            "SELECT event_id, ts, user_id FROM events WHERE event_id % 11 = 0",
+            "SELECT * FROM events WHERE event_id % 11 = 0",
         ),
         "region_filter": (
             region_filtered,

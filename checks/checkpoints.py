@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.derived import CONFIG_SQL, config, table
@@ -31,8 +33,7 @@ def checkpoint_read_boolean(spark, sf_dir):
 def checkpoint_read_bucketed(spark, sf_dir):
     """Year and month buckets; the checkpoint lies in a December."""
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_orderdate",
+        "*",
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
     )
@@ -208,8 +209,19 @@ SELECT TARGET_TABLE_NAME, LAYER_TYPE, CASE WHEN LAYER_TYPE = 'BRONZE'
 FROM config LEFT JOIN new ON ns = SOURCE_NAMESPACE AND obj = SOURCE_TABLE_NAME"""
 
 
+def config_from_catalog(spark, sf_dir):
+    """The configuration as a table of the session's catalog, flags kept as text."""
+    name = f"pipeline_config_{uuid.uuid4().hex}"
+    rows = config(spark, sf_dir).withColumn("IS_ACTIVE", F.initcap(F.col("IS_ACTIVE").cast("string")))
+    rows.write.option("path", fresh_folder(spark, "catalog")).saveAsTable(name)
+    found = cf.read_config(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # the name alone: the files lie outside the warehouse
+    return found
+
+
 def checks():
     return {
+        "config_from_catalog": (config_from_catalog, f"WITH {CONFIG_SQL} SELECT * FROM config"),
         "checkpoint_read_ts": (
             _read("events", "ts::timestamp::>", "2024-01-20 12:30:00.5"),
             "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-20 12:30:00.5'",
@@ -245,7 +257,7 @@ def checks():
         ),
         "checkpoint_read_bucketed": (
             checkpoint_read_bucketed,
-            "SELECT o_orderkey, o_orderdate, year(o_orderdate)::INT AS year, "
+            "SELECT *, year(o_orderdate)::INT AS year, "
             "month(o_orderdate)::INT AS month FROM orders "
             "WHERE o_orderdate > TIMESTAMP '1997-12-05'",
         ),

@@ -163,7 +163,7 @@ def read_json_documents(spark, sf_dir):
             F.lit('{"id": '), F.col("event_id"), F.lit(', "gap": null, "props": '), "props", F.lit("}")
         )
     ).write.text(path)
-    found = void_to_string(read_documents(spark, path, sampling_ratio=0.5))
+    found = void_to_string(read_documents(spark, path))
     return found.select("id", "gap", F.col("props.k").alias("k"))
 
 

@@ -25,7 +25,7 @@ from tidemark.operators.filelog import file_inventory, to_log_rows
 from tidemark.operators.transforms import with_row_hash
 from tidemark.plans import flows
 from tidemark.session import fresh_folder, stage
-from tidemark.sources.files import read_documents
+from tidemark.sources.files import read_documents, read_files
 from tidemark.sources.readers import parquet_loader
 from tidemark.tables.appends import AppendTable
 from tidemark.tables.hours import read_load
@@ -224,11 +224,17 @@ def checkpoint_read_bucketed_four(spark, sf_dir):
 
 def file_log_success_table(spark, sf_dir):
     """A table whose name holds the marker's text is logged; its marker file is not."""
-    run = Run(RUN_TS, fresh_folder(spark, "log"))
-    folder = f"{run.root}/LOAD_SUCCESS/full_load/2024/05/01/10"
-    table(spark, sf_dir, "region").coalesce(1).write.parquet(folder)
-    logged = to_log_rows(file_inventory(spark, folder), "LOAD_SUCCESS", run.bucket, run.run_ts)
-    return logged.select("TABLE_NAME", F.regexp_replace("FILE_WITH_PATH", "/[^/]*$", "").alias("folder"))
+    run, found = Run(RUN_TS, fresh_folder(spark, "log")), None
+    orders = table(spark, sf_dir, "orders")
+    for status in ("F", "O", "P"):
+        name = f"{status}_SUCCESS"
+        folder = f"{run.root}/{name}/full_load/2024/05/01/10"
+        orders.where(F.col("o_orderstatus") == status).write.parquet(folder)
+        logged = to_log_rows(file_inventory(spark, folder), name, run.bucket, run.run_ts)
+        files = [f"{run.root}/{r.FILE_WITH_PATH}" for r in logged.select("FILE_WITH_PATH").collect()]
+        rows = read_files(spark, files, orders.schema).select(F.lit(name).alias("table_name"), "*")
+        found = rows if found is None else found.unionAll(rows)
+    return found
 
 
 def documents_rare_field(spark, sf_dir):
@@ -327,7 +333,7 @@ def checks():
         ),
         "file_log_success_table": (
             file_log_success_table,
-            'SELECT \'LOAD_SUCCESS\' AS "TABLE_NAME", \'LOAD_SUCCESS/full_load/2024/05/01/10\' AS folder',
+            "SELECT o_orderstatus || '_SUCCESS' AS table_name, orders.* FROM orders",
         ),
         "documents_rare_field": (
             documents_rare_field,

@@ -10,6 +10,7 @@ from checks.derived import RUN_TS, table
 from tidemark.model import INCR_LOAD, KEY_INCR_LOAD, Run
 from tidemark.operators.transforms import lowercase_columns
 from tidemark.session import fresh_folder
+from tidemark.tables.appends import AppendTable
 from tidemark.tables.hours import read_load, write_load
 from tidemark.tables.snapshots import VersionedTable
 
@@ -21,17 +22,19 @@ def _target(spark, name):
 def append_merge_schema(spark, sf_dir):
     """A second append brings a new column; a third one a wider number."""
     customers = table(spark, sf_dir, "customer")
-    target = _target(spark, "customer")
-    target.append(customers.where("c_custkey % 3 = 0"))
+    target = AppendTable(spark, fresh_folder(spark, "tables"), "customer")
+    target.append(customers.where("c_custkey % 3 = 0"), slice_key="a")
     target.append(
         lowercase_columns(
             customers.where("c_custkey % 3 = 1").withColumn("TIER", F.lit("gold"))
-        )
+        ),
+        slice_key="b",
     )
     target.append(
         customers.where("c_custkey % 3 = 2").withColumn(
             "c_nationkey", F.col("c_nationkey").cast("bigint") + 5_000_000_000
-        )
+        ),
+        slice_key="c",
     )
     return target.read()
 
@@ -45,7 +48,7 @@ FROM customer"""
 def append_repeated_slice(spark, sf_dir):
     """The second slice is appended twice, as after a failure; its rows stay single."""
     orders = table(spark, sf_dir, "orders")
-    target = _target(spark, "orders")
+    target = AppendTable(spark, fresh_folder(spark, "tables"), "orders")
     target.append(orders.where("o_orderkey % 2 = 0"), slice_key="a")
     target.append(orders.where("o_orderkey % 2 = 1"), slice_key="b")
     target.append(orders.where("o_orderkey % 2 = 1"), slice_key="b")

@@ -53,14 +53,11 @@ def src_only_events(spark, sf_dir):
 
 
 def rename_reserved(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("Hash")
-    )
-    return t.rename_reserved(rows)
+    return t.rename_reserved(table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "Hash"))
 
 
 def ingest_stamp(spark, sf_dir):
-    return t.with_ingest_ts(table(spark, sf_dir, "orders").select("o_orderkey"), RUN_TS)
+    return t.with_ingest_ts(table(spark, sf_dir, "orders"), RUN_TS)
 
 
 def lowercase_columns(spark, sf_dir):
@@ -83,7 +80,7 @@ def void_to_string(spark, sf_dir):
 
 
 def region_tag(spark, sf_dir):
-    return t.with_region_tag(table(spark, sf_dir, "customer").select("c_custkey"), "orders-EU")
+    return t.with_region_tag(table(spark, sf_dir, "customer"), "orders-EU")
 
 
 def normalise_timestamps(spark, sf_dir):
@@ -151,11 +148,11 @@ def checks():
         ),
         "rename_reserved": (
             rename_reserved,
-            "SELECT l_orderkey, l_linenumber, l_returnflag AS src_hash FROM lineitem",
+            "SELECT * RENAME (l_returnflag AS src_hash) FROM lineitem",
         ),
         "ingest_stamp": (
             ingest_stamp,
-            f'SELECT o_orderkey, {RUN_HOUR_SQL} AS "INGEST_EFF_DTIMEUTC" FROM orders',
+            f'SELECT *, {RUN_HOUR_SQL} AS "INGEST_EFF_DTIMEUTC" FROM orders',
         ),
         "lowercase_columns": (lowercase_columns, "SELECT * FROM supplier"),
         "void_to_string": (
@@ -165,7 +162,7 @@ def checks():
         ),
         "region_tag": (
             region_tag,
-            "SELECT c_custkey, split_part('orders-EU', '-', 2) AS \"ITB_DB_REGION\" FROM customer",
+            "SELECT *, split_part('orders-EU', '-', 2) AS \"ITB_DB_REGION\" FROM customer",
         ),
         "normalise_timestamps": (normalise_timestamps, "SELECT event_id, ts FROM events"),
         "drop_technical": (drop_technical, "SELECT * FROM supplier"),

@@ -66,3 +66,16 @@ def test_few_rows_need_no_python(spark):
         ]
         assert df.count() == len(rows)
         assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+
+
+def test_broadcast_is_bounded_by_rows_and_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    def hinted(df, **bounds):
+        return "ResolvedHint" in df.sparkSession._jvm.String.valueOf(
+            session.broadcast_if_small(df, **bounds)._jdf.queryExecution().analyzed()
+        )
+
+    rows = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.lit("y" * 500)).alias("list"))
+    assert hinted(rows) and hinted(rows.limit(0))
+    assert not hinted(rows, limit=9) and not hinted(rows, size=10_000)

@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # A side of a join is broadcast only when its row count is known to be at or below
 # this bound (a few tens of megabytes of hashes or keys per executor).
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,13 +48,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint when the rows of ``df``, counted first, stay within ``limit``.
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts count by their length, whatever holds them."""
+    width = F.lit(0)
+    for f in df.schema:
+        value = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + 16 + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            width = width + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        else:
+            width = width + 8
+    return width.cast("long")
 
-    Beyond it the frame is returned as it is, and the planner's shuffle join with
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint when ``df``, measured first, is within ``limit`` rows and ``size`` bytes.
+
+    Beyond either the frame is returned as it is, and the planner's shuffle join with
     its run-time skew handling applies.
     """
-    return F.broadcast(df) if df.count() <= limit else df
+    rows, taken = df.agg(F.count(F.lit(1)), F.sum(_width(df))).first()
+    return F.broadcast(df) if rows <= limit and (taken or 0) <= size else df
 
 
 def few_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
