@@ -39,12 +39,17 @@ class AppendTable:
         self.path = f"{root.rstrip('/')}/{name}"
         self.log = EventLog(spark, f"{self.path}/_slices", SLICES, (SLICE,))
 
-    def _schemas(self) -> list[tuple[str, T.StructType]]:
-        """(id, schema) of the published slices, oldest first: a few, however many slices."""
+    def _schemas(self, name: str | None = None) -> tuple[list[tuple[str, T.StructType]], str | None]:
+        """(id, schema) of the published slices, oldest first, and the published try of slice ``name``.
+
+        A few rows, however many slices there are.
+        """
         live = self.log.read().where(F.col(TRY).isNotNull())
-        rows = live.groupBy("schema_id", "data_schema").agg(F.min("position").alias("first")).collect()
+        own = F.max(F.when(F.col(SLICE) == name, F.col(TRY)))
+        rows = live.groupBy("schema_id", "data_schema").agg(F.min("position").alias("first"), own.alias("own")).collect()
         ordered = sorted(rows, key=lambda r: r.first)
-        return [(r.schema_id, T.StructType.fromJson(json.loads(r.data_schema))) for r in ordered]
+        schemas = [(r.schema_id, T.StructType.fromJson(json.loads(r.data_schema))) for r in ordered]
+        return schemas, next((r.own for r in rows if r.own), None)
 
     def _slice_path(self, schema_id: str, name: str) -> str:
         return f"{self.path}/data/schema={schema_id}/{SLICE}={name}"
@@ -61,16 +66,15 @@ class AppendTable:
     ) -> None:
         """Write one slice in the place of its earlier try; new columns are null in the others."""
         name = _id(slice_key if slice_key is not None else f"hour@{run_hour}")
-        known = self._schemas()
+        known, earlier = self._schemas(name)
         if known:
             common_schema(merged([schema for _, schema in known]), df.schema)
         text = df.schema.json()
-        earlier = self.log.read().where(F.col(SLICE) == name).select(TRY).first()
         folder = f"{self._slice_path(_id(text), name)}/{TRY}={uuid.uuid4().hex}"
         write_parquet(df, folder, **write)
         self.log.note((name, folder.rpartition("=")[2], _id(text), text))
         # A reader may still hold the try before this one; older and dead ones go.
-        held = {folder.rpartition("=")[2], earlier[0] if earlier else None}
+        held = {folder.rpartition("=")[2], earlier}
         for path in self._tries(name):
             if path.rpartition("=")[2] not in held:
                 delete_folder(self.spark, path)
@@ -78,21 +82,21 @@ class AppendTable:
     def undo(self, slice_key: str) -> None:
         """Take a slice back; of one that was never published only the leftovers go."""
         name = _id(slice_key)
-        if self.log.read().where((F.col(SLICE) == name) & F.col(TRY).isNotNull()).isEmpty():
+        if self._schemas(name)[1] is None:
             for path in self._tries(name):
                 delete_folder(self.spark, path)
         else:
             self.log.note((name, None, None, None))
 
     def schema(self) -> T.StructType:
-        known = self._schemas()
+        known, _ = self._schemas()
         if not known:
             raise ValueError(f"table {self.name!r} has no slice")
         return merged([schema for _, schema in known])
 
     def read(self) -> DataFrame:
         """All published slices in their common schema."""
-        known = self._schemas()
+        known, _ = self._schemas()
         if not known:
             # Every slice was taken back: the columns are those of the last one written.
             return few_rows(self.spark, [], self._last_schema())
