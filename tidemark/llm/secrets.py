@@ -1,14 +1,19 @@
 """Secrets in texts: three patterns, and random strings by token efficiency.
 
 A byte-pair vocabulary spells ordinary words with few tokens and random strings with
-many: a run of letters, digits and the signs of base64 with few characters per token is
-a likely key. Runs that are digests (hexadecimal of a usual length), UUIDs, plain numbers,
-or written with one kind of character only are known not to be keys and are left out.
+many: letters and digits with few characters per token are a likely key. A run of letters,
+digits and the signs that join them is judged as a whole, if none of its parts reads like a
+word, and else part by part, so a key behind a path or a name stands out as well. Short
+strings vary more, so their bound is lower. Digests (hexadecimal of a usual length), UUIDs
+and plain numbers are known not to be keys. Strings of one kind of letter, or with the
+capitals of words, are told from invented or foreign words from 20 characters on only;
+strings of several kinds from 8 on.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -31,14 +36,21 @@ KINDS = ("assign", "access", "hex", "random")
 _HINTS = ("password", "passwd", "secret", "token", "api")
 _LEAST_VALUE, _LEAST_ACCESS = 8, 16
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+_PART = re.compile(r"[A-Za-z0-9+]+")
 #: Lengths of common digests in hexadecimal digits.
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-_SORTS = (re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]"))
-#: Random base64 has under two characters per token, words of natural text three or more.
-MAX_CHARS_PER_TOKEN = 2.2
+_NUMBER = re.compile(r"[0-9+/_=-]*")
+_LETTERS = re.compile("[A-Za-z]+")
+_SWITCH = re.compile("[a-z][A-Z]|[A-Z][a-z]")
+_WORD = re.compile("[A-Z]?[a-z]{3,}|[A-Z]{4,}")
+_LEAST_PART, _LONG = 8, 20
+#: Bounds of characters per token. Nine of ten random strings of letters and digits (four
+#: of five below ten characters)
+#: lie under the short and the long bound, of one kind of letter under the plain one.
+SHORT_BOUND, LONG_BOUND, PLAIN_BOUND, WORD_LIKE = 1.8, 2.0, 2.05, 2.2
 
 
 @functools.lru_cache(maxsize=2)
@@ -49,14 +61,44 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
 
 
 def _is_known(run: str) -> bool:
-    """Digests, identifiers and runs of one kind of character."""
-    if _UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run)):
-        return True
-    return sum(bool(sort.search(run)) for sort in _SORTS) < 2
+    """Digests, identifiers and numbers."""
+    return bool(_UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run)) or _NUMBER.fullmatch(run))
 
 
-def spans(text: str, encoding: tiktoken.Encoding, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of all findings, by start, then kind as listed."""
+def _is_plain(part: str) -> bool:
+    """Letters in the case of words: a switch of case for every four of them at most."""
+    return bool(_LETTERS.fullmatch(part)) and 4 * len(_SWITCH.findall(part)) <= len(part)
+
+
+def _is_random(part: str, encoding: tiktoken.Encoding) -> bool:
+    """Whether a string has fewer characters per token than strings of its make and length may have."""
+    if len(part) < _LEAST_PART or _is_known(part):
+        return False
+    plain = _is_plain(part)
+    if plain and len(part) < _LONG:
+        return False
+    bound = PLAIN_BOUND if plain else LONG_BOUND if len(part) >= _LONG else SHORT_BOUND
+    return len(part) < bound * len(encoding.encode_ordinary(part))
+
+
+def _random_parts(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) within a run of what is random in it: all of it, or some of its parts."""
+    if _is_known(run):
+        return []
+    parts = list(_PART.finditer(run))
+    if len(parts) > 1 or parts and len(parts[0][0]) < len(run):
+        words = (p[0] for p in parts if _WORD.fullmatch(p[0]))
+        readable = any(len(w) >= WORD_LIKE * len(encoding.encode_ordinary(w)) for w in words)
+        if len(run) >= _LONG and not readable and _is_random(run, encoding):
+            return [(0, len(run))]
+    return [p.span() for p in parts if _is_random(p[0], encoding)]
+
+
+def spans(text: str, encoding: tiktoken.Encoding) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of all findings, by start, then kind as listed.
+
+    Random strings within the finding of a pattern are that finding.
+    """
     found = []
     low = text.lower()
     if any(hint in low for hint in _HINTS):
@@ -64,10 +106,13 @@ def spans(text: str, encoding: tiktoken.Encoding, most: float = MAX_CHARS_PER_TO
     if "AKIA" in text:
         found += [(*m.span(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= _LEAST_ACCESS]
     found += [(*m.span(), 2) for m in HEX.finditer(text)]
+    held = sorted(found)
     for m in RUN.finditer(text):
-        run = m[0]
-        if not _is_known(run) and len(run) < most * len(encoding.encode_ordinary(run)):
-            found.append((*m.span(), 3))
+        for a, b in _random_parts(m[0], encoding):
+            a, b = a + m.start(), b + m.start()
+            near = bisect.bisect_right(held, (a, len(text) + 1, 0))
+            if not any(b <= end for _, end, _ in held[max(0, near - len(KINDS)) : near]):
+                found.append((a, b, 3))
     return [(a, b, KINDS[k]) for a, b, k in sorted(found, key=lambda s: (s[0], s[2]))]
 
 
@@ -78,7 +123,8 @@ def find_secrets(
 
     ``ranks_file`` holds a tiktoken vocabulary, ``pattern`` splits text for it. Null text
     counts as empty. Rows are independent of each other: null or repeated ids, repeated
-    rows and other columns of any name change nothing.
+    rows and other columns of any name change nothing. Texts of any length are searched
+    whole; an empty table gives an empty result.
     """
     with open(ranks_file, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())  # under a megabyte
