@@ -17,6 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.rows import ref
 from tidemark.functions.widening import common_schema, merged, widened
 from tidemark.session import few_rows
 from tidemark.sources.files import delete_folder, folder_names
@@ -44,6 +45,8 @@ class AppendTable:
 
         A few rows, however many slices there are.
         """
+        if self.log.is_empty():
+            return [], None
         live = self.log.read().where(F.col(TRY).isNotNull())
         own = F.max(F.when(F.col(SLICE) == name, F.col(TRY)))
         rows = live.groupBy("schema_id", "data_schema").agg(F.min("position").alias("first"), own.alias("own")).collect()
@@ -103,13 +106,12 @@ class AppendTable:
         common = merged([schema for _, schema in known])
         live = self.log.read().where(F.col(TRY).isNotNull()).select(SLICE, TRY)
         keys = T.StructType([T.StructField(n, T.StringType()) for n in (SLICE, TRY)])
-        found = None
+        keyed, found = T.StructType([*common, *keys]), None
         for schema_id, schema in known:
             files = self.spark.read.schema(T.StructType([*schema, *keys]))
-            rows = files.parquet(f"{self.path}/data/schema={schema_id}").join(live, [SLICE, TRY], "left_semi")
-            rows = widened(rows.drop(SLICE, TRY), common)
+            rows = widened(files.parquet(f"{self.path}/data/schema={schema_id}"), keyed)
             found = rows if found is None else found.unionAll(rows)
-        return found
+        return found.join(live, [SLICE, TRY], "left_semi").select(*[ref(c) for c in common.names])
 
     def _last_schema(self) -> T.StructType:
         for schema in folder_names(self.spark, f"{self.path}/data"):

@@ -57,6 +57,10 @@ class EventLog:
         folders = [self._folder("state", p) for p in states] + [self._folder("events", p) for p in events]
         return folders, len(events)
 
+    def is_empty(self) -> bool:
+        """Whether nothing was ever noted; told by names, without a job."""
+        return not self._sources()[0]
+
     def read(self) -> DataFrame:
         """The latest row of each key, with its position."""
         folders, _ = self._sources()

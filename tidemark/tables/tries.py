@@ -1,12 +1,12 @@
 """Tries of checkpoint extracts, so that only a failed one is ever replaced.
 
-A try is noted before it writes, sealed with its next checkpoint before that is moved,
-and closed afterwards. What a run that died has left is settled when the next one starts:
-a try that was never sealed is replaced. A sealed one whose move is stored, or whose
-checkpoint is the one now in force, only failed to be closed, and is closed now, before any
-later move can hide it. Other sealed ones were not moved and are replaced. Where moves are
-kept elsewhere and do not name their try, that is only done if the checkpoint is still
-where the try began: no row that may have been committed is taken back.
+A try is noted before it writes and closed when its checkpoint has moved. A stored move
+names the try that made it; where moves are kept elsewhere, the try is sealed with its next
+checkpoint before that is moved. What a run that died has left is settled when the next one
+starts. A try whose move is stored, or that was sealed with the checkpoint now in force,
+only failed to be closed, and is closed now, before any later move can hide it. A try that
+was not moved is replaced. Of moves that name no try that is only known if the checkpoint is
+still where the try began: no row that may have been committed is taken back.
 """
 
 from __future__ import annotations
@@ -72,9 +72,8 @@ class Tries:
         """
         found = Settled()
         for r in sorted(self.read().collect(), key=lambda r: r.position):
-            kept = r.checkpoint == self.began_at
-            kept = kept or (r.began_at != self.began_at if moved is None else r.try_id in moved)
-            if r.event == SEALED and kept:
+            kept = r.event == SEALED and (r.checkpoint == self.began_at or (moved is None and r.began_at != self.began_at))
+            if kept or r.try_id in (moved or ()):
                 found.closed.append(r.try_id)
             else:
                 found.replaced.append((r.try_id, r.written_to))
