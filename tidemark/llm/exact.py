@@ -220,7 +220,11 @@ def exact_groups(
 
 
 def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` without exact copies; all columns as they were."""
+    """Rows of ``docs`` without exact copies; all columns as they were.
+
+    Null text is an empty text. Of rows that repeat id and text one stays; a null id stays
+    only where all copies have none. An empty table gives an empty result.
+    """
     groups = stage(exact_groups(docs, doc_id, text), "exact-decisions")
     lost = groups.where("NOT kept AND NOT doc_id <=> keep_id")
     rest = keep_rows(docs, lost, doc_id, text)

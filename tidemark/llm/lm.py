@@ -344,7 +344,8 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     ``base_score`` is the smoothed unigram log10 probability, ``score`` the model's. Null
     text counts as empty and has one token, the end. Null or repeated ids and repeated
     rows are scored row by row. Without training rows all words are unknown. An empty
-    table gives an empty result; other columns, whatever their names, are not read.
+    table gives an empty result; other columns, whatever their names, are not read. A text
+    of any length is scored whole, by one task.
     """
     spark = docs.sparkSession
     texts = docs.select(

@@ -169,7 +169,11 @@ def _with_copies(sizes: DataFrame, targets: DataFrame, decided: DataFrame, best:
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` as often as the mix takes them; all columns as they were."""
+    """Rows of ``docs`` as often as the mix takes them; all columns as they were.
+
+    Rows without words, null text among them, are in no mix. A null source is a source, a
+    null id an id; ties in rank go by id. An empty table gives an empty result.
+    """
     plan = stage(mix(docs), "mix-plan").groupBy(F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"))
     # Rows of equal id and text share their copies evenly; the first take what is over.
     shares = plan.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))

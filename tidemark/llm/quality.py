@@ -191,7 +191,8 @@ def judge_quality(
     Null text counts as empty and fails for its length; a null or unlisted language, or
     a table without that column, is compared with the pooled words. Repeated rows get
     equal verdicts. Other columns, whatever their names, are not read. ``key`` is
-    ``row_key`` of the text. An empty table gives an empty result.
+    ``row_key`` of the text. An empty table gives an empty result. Texts of any length are
+    counted whole.
     """
     counted = stage(counts(docs, doc_id, text, lang), "quality-counts")
     # One row per entry of COMMON_WORDS: this side can never grow.
@@ -214,5 +215,9 @@ def judge_quality(
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that pass; all columns as they were."""
+    """Rows of ``docs`` that pass; all columns as they were.
+
+    Null text fails for its length. Repeated rows all stay or all go; null ids are kept
+    apart by their texts. An empty table gives an empty result.
+    """
     return keep_rows(docs, judge_quality(docs).where("NOT kept"))

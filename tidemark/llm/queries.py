@@ -241,7 +241,7 @@ def op6_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licence_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files named source/language/id, as the table has no paths."""
+    """Documents as files named source/language/id, as the table has no paths: none is named as a licence file."""
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), "doc_id")
     return licences.scan_licences(_documents(spark, sf_dir).withColumn("path", path))
 

@@ -279,5 +279,9 @@ def keep_firsts(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, one of each group: that with the least id. Columns as they were."""
+    """Rows of ``docs``, one of each group: that with the least id. Columns as they were.
+
+    Null and empty texts have fingerprint zero. Of rows that repeat id and text one stays. An
+    empty table gives an empty result.
+    """
     return keep_firsts(docs, stage(near_groups(docs, doc_id, text), "near-decisions"), doc_id, text)

@@ -315,7 +315,8 @@ def remove_repeats(
     or earlier in its own. Null text has no words, null ids come last. Rows of one id count
     as one document: windows at the same place of both are not earlier than each other, so
     rows that repeat id and text both stay. An empty table gives an empty result; other
-    columns, whatever their names, are not read.
+    columns, whatever their names, are not read. A text of any length is read whole, by one
+    task.
     """
     if not 0 < gram <= window:
         raise ValueError("a gram is at most as long as a window")

@@ -120,8 +120,8 @@ def judge_urls(
     ``labels`` has (page_id, bad), one row per id; pages that a rule blocks or allows
     count as labelled by it. Without labels the verdict is allow. A null URL, or one
     without ``://``, has empty host and path and is judged like a host of that name.
-    Repeated rows get equal verdicts; null ids have no label. An empty table gives an
-    empty result; other columns, whatever their names, are not read.
+    Repeated rows get equal verdicts; null ids have no label. Paths of any depth and length
+    are judged whole. An empty table gives an empty result; other columns, whatever their names, are not read.
     """
     host, path = host_and_path(F.col(url).cast("string"))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
