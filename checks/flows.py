@@ -19,7 +19,7 @@ from checks.derived import (
     table,
 )
 from tidemark.functions.predicates import checkpoint_predicate
-from tidemark.functions.rows import ntz
+from tidemark.functions.rows import ntz, row_json
 from tidemark.model import (
     CASSANDRA,
     FULL_EXTRACT,
@@ -171,7 +171,7 @@ def key_incr_bucketed(spark, sf_dir):
     """
     path, stores = fresh_folder(spark, "buckets"), _stores(spark)
     table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_orderdate", "year(o_orderdate) AS year", "month(o_orderdate) AS month"
+        "*", "year(o_orderdate) AS year", "month(o_orderdate) AS month"
     ).write.partitionBy("year", "month").parquet(f"{path}/orders")
     stored = parquet_loader(path, "")
     definition = "year::numeric::>=|month::numeric::>=|o_orderdate::timestamp::>"
@@ -192,7 +192,7 @@ def key_incr_bucketed(spark, sf_dir):
         rows = read_source(spark, spec, {CASSANDRA: grown}, stores.run)
         flows.key_incr_extract(rows, spec, stores, lambda _, value: values.append(value))
     return read_load(spark, stores.run, "orders", KEY_INCR_LOAD).select(
-        "o_orderkey", "o_orderdate", F.lit(values[-1]).alias("checkpoint")
+        *COLUMNS["orders"], F.lit(values[-1]).alias("checkpoint")
     )
 
 
@@ -200,7 +200,7 @@ def read_source_documents(spark, sf_dir):
     """A document collection: void fields made text, region tag taken from the target."""
     path = fresh_folder(spark, "collections")
     table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.lit(None).cast("string").alias("gap")
+        "*", F.lit(None).cast("string").alias("gap")
     ).write.option("ignoreNullFields", "false").json(f"{path}/customer")
     spec = ObjectSpec("shop", "customer", "customer-EU", MONGODB, FULL_EXTRACT)
     return read_source(spark, spec, {MONGODB: json_loader(path)}, Run(RUN_TS, path))
@@ -210,7 +210,7 @@ def read_source_bucketed(spark, sf_dir):
     """A wide-column source stored by year and month; unneeded buckets are not read."""
     path = fresh_folder(spark, "buckets")
     table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_orderdate", "year(o_orderdate) AS year", "month(o_orderdate) AS month"
+        "*", "year(o_orderdate) AS year", "month(o_orderdate) AS month"
     ).write.partitionBy("year", "month").parquet(f"{path}/orders")
     specs = specs_of(
         "year::numeric::>=|month::numeric::>=|o_orderdate::timestamp::>", "1998-11-20 00:00:00"
@@ -226,7 +226,7 @@ def read_source_region(spark, sf_dir):
         "c_custkey AS id", "element_at(array('NA', 'EU', 'AU'), cast(c_nationkey % 3 + 1 as int)) "
         "AS preference_region"
     ).write.parquet(f"{path}/partners")
-    table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey AS partner_id").write.parquet(
+    table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "partner_id").write.parquet(
         f"{path}/partner_id_mappings"
     )
     spec = ObjectSpec("shop", "partner_id_mappings", "maps", MYSQL, FULL_EXTRACT)
@@ -235,7 +235,7 @@ def read_source_region(spark, sf_dir):
 
 
 def ingest(spark, sf_dir):
-    """A configured run over three objects: rows per object, and checkpoint moves."""
+    """A configured run over three objects: all rows of each, and checkpoint moves."""
 
     def row(name, method, definition=None, value=None, layer="BRONZE", target=None, mode=None):
         found = dict(
@@ -263,9 +263,9 @@ def ingest(spark, sf_dir):
     config = spark.createDataFrame(rows, PIPELINE_CONFIG)
     stores = _stores(spark)
     flows.ingest(config, "shop", "A", {POSTGRESQL: parquet_loader(sf_dir)}, stores)
-    counts = [
-        read_load(spark, stores.run, name, kind).agg(
-            F.lit(name).alias("object"), F.count(F.lit(1)).alias("row_count")
+    parts = [
+        read_load(spark, stores.run, name, kind).select(
+            F.lit(name).alias("object"), row_json(COLUMNS[name]).alias("row")
         )
         for name, kind in (
             ("customer", INCR_LOAD),
@@ -274,20 +274,21 @@ def ingest(spark, sf_dir):
         )
     ]
     landed = stores.raw("raw_customer").read()
-    counts.append(landed.agg(F.lit("landed").alias("object"), F.count(F.lit(1)).alias("row_count")))
-    found = counts[0]
-    for more in counts[1:]:
+    parts.append(landed.select(F.lit("landed").alias("object"), F.col("SRC").alias("row")))
+    found = parts[0]
+    for more in parts[1:]:
         found = found.unionAll(more)
     moves = CheckpointMoves(spark, stores.run.root).read()
     moved = latest_moves(moves).select(F.col("SOURCE_TABLE_NAME").alias("object"), "checkpoint")
     return found.join(moved, "object", "left")
 
 
-INGEST_SQL = """
-SELECT 'customer' AS object, count(*) AS row_count, NULL::VARCHAR AS checkpoint FROM customer
-UNION ALL SELECT 'landed', count(*), NULL FROM customer
-UNION ALL SELECT 'lineitem', count(*), NULL FROM lineitem
-UNION ALL SELECT 'orders', count(*), max(o_orderkey)::VARCHAR FROM orders
+INGEST_SQL = f"""
+SELECT 'customer' AS object, {json_sql(COLUMNS["customer"])} AS row, NULL::VARCHAR AS checkpoint FROM customer
+UNION ALL SELECT 'landed', {json_sql([*COLUMNS["customer"], "INGEST_EFF_DTIMEUTC"])}, NULL
+FROM (SELECT *, {RUN_HOUR_SQL} AS "INGEST_EFF_DTIMEUTC" FROM customer)
+UNION ALL SELECT 'lineitem', {json_sql(COLUMNS["lineitem"])}, NULL FROM lineitem
+UNION ALL SELECT 'orders', {json_sql(COLUMNS["orders"])}, (SELECT max(o_orderkey)::VARCHAR FROM orders) FROM orders
 WHERE o_orderkey >= 1000"""
 
 
@@ -368,23 +369,23 @@ def checks():
         "key_incr_checkpoint": (key_incr_checkpoint, KEY_CHECKPOINT_SQL),
         "key_incr_bucketed": (
             key_incr_bucketed,
-            "SELECT o_orderkey, o_orderdate, (SELECT max(o_orderdate)::VARCHAR FROM orders) "
+            "SELECT *, (SELECT max(o_orderdate)::VARCHAR FROM orders) "
             "AS checkpoint FROM orders",
         ),
         "read_source_documents": (
             read_source_documents,
-            "SELECT c_custkey, c_name, NULL::VARCHAR AS gap, 'EU' AS \"ITB_DB_REGION\" "
+            "SELECT *, NULL::VARCHAR AS gap, 'EU' AS \"ITB_DB_REGION\" "
             "FROM customer",
         ),
         "read_source_bucketed": (
             read_source_bucketed,
-            "SELECT o_orderkey, o_orderdate, year(o_orderdate)::INT AS year, "
+            "SELECT *, year(o_orderdate)::INT AS year, "
             "month(o_orderdate)::INT AS month FROM orders "
             "WHERE o_orderdate > TIMESTAMP '1998-11-20'",
         ),
         "read_source_region": (
             read_source_region,
-            "SELECT o_orderkey, o_custkey AS partner_id FROM orders WHERE o_custkey IN "
+            "SELECT * RENAME (o_custkey AS partner_id) FROM orders WHERE o_custkey IN "
             "(SELECT c_custkey FROM customer WHERE c_nationkey % 3 < 2)",
         ),
         "ingest": (ingest, INGEST_SQL),
