@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -106,6 +108,28 @@ def test_comparing_indexes_moves_nothing(spark, sf, tmp_path):
     assert rows_of(fresh) == rows_of(rows.where("l_orderkey % 2 = 1").select("hash").distinct())
 
 
+def test_an_index_is_shuffled_once(spark, tmp_path):
+    rows = with_row_hash(spark.range(5000).toDF("v"))
+    indexes = HashIndexes(spark, str(tmp_path), bucket_rows=500)
+    name, context = "spark.sql.shuffle.partitions", spark.sparkContext
+    before = spark.conf.get(name)
+    spark.conf.unset(name)  # also where no number is set
+    context.setJobGroup("index-once", "writing an index")
+    try:
+        indexes.write(rows, 1, 5000)
+        assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, before)
+    jobs = context.statusTracker().getJobIdsForGroup("index-once")
+    context.setJobGroup("index-read", "reading it")
+    stages = {s for j in jobs for s in context.statusTracker().getJobInfo(j).stageIds}
+    ran = [s for s in stages if (info := context.statusTracker().getStageInfo(s)) and info.numCompletedTasks]
+    assert len(ran) == 2  # one that hashes and counts, one that counts and writes
+    files = [f for f in os.listdir(f"{tmp_path}/snapshot_id=1/buckets=16") if f.endswith(".parquet")]
+    assert len(files) == 16 and all(".zstd." in f for f in files)
+    assert indexes.read(1).agg(F.count(F.lit(1)), F.sum("copies")).first()[:] == (5000, 5000)
+
+
 def test_a_hot_row_is_one_entry(spark, tmp_path):
     rows = with_row_hash(spark.range(10_000).selectExpr("IF(id < 9000, 1, id) AS v"))
     indexes = HashIndexes(spark, str(tmp_path))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -48,6 +49,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Joins and aggregations that are planned within are dealt into ``number`` partitions."""
+    usual, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {name: spark.conf.get(name, None) for name in (usual, first)}
+    try:
+        spark.conf.set(usual, str(number))
+        if before[first] is not None:  # it goes before the other
+            spark.conf.set(first, str(number))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def _width(df: DataFrame) -> Column:
     """About how many bytes a row takes: texts count by their length, whatever holds them."""
     width = F.lit(0)

@@ -1,8 +1,9 @@
 """Indexes of row hashes: bucketed, sorted tables, one per snapshot.
 
 An index holds each hash of a snapshot once, in buckets by hash. Rows are counted together
-before they are shuffled, so a row with very many copies is one entry like any other. Two
-indexes of one table are bucketed alike, and comparing them moves nothing. Bucket numbers
+before they are shuffled, so a row with very many copies is one entry like any other, and
+the shuffle that counts them deals them into the buckets at once. Hashes are hexadecimal
+text, which Zstandard halves and Snappy doesn't. Two indexes of one table are bucketed alike, and comparing them moves nothing. Bucket numbers
 are powers of two that follow the number of rows; when a table has outgrown its number, the
 next comparison deals out the older, smaller index once.
 """
@@ -14,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.model import HASH
+from tidemark.session import shuffle_partitions
 from tidemark.sources.files import delete_folder, folder_names
 
 #: Hashes a bucket is meant to hold, a hundred megabytes or so.
@@ -41,8 +43,10 @@ class HashIndexes:
         buckets, name = self.buckets(rows), f"tidemark_index_{uuid.uuid4().hex}"
         delete_folder(self.spark, self._folder(snapshot_id))
         counted = snapshot.groupBy(HASH).agg(F.count(F.lit(1)).alias("copies"))
-        writer = counted.repartition(buckets, HASH).write.bucketBy(buckets, HASH).sortBy(HASH)
-        writer.option("path", f"{self._folder(snapshot_id)}/buckets={buckets}").saveAsTable(name)
+        writer = counted.repartition(buckets, HASH).write.bucketBy(buckets, HASH).sortBy(HASH).option("compression", "zstd")
+        # Counted in as many partitions, they lie as ``repartition`` wants them, and Spark drops it.
+        with shuffle_partitions(self.spark, buckets):
+            writer.option("path", f"{self._folder(snapshot_id)}/buckets={buckets}").saveAsTable(name)
         # The files are the index; the catalog entry is only needed to write buckets.
         self.spark.sql(f"DROP TABLE {name}")
 
