@@ -2,10 +2,11 @@ import math
 import pathlib
 import re
 import textwrap
+import zlib
 from collections import Counter
 
 from tests.llm.helpers import awkward, empty
-from tidemark.llm import licences
+from tidemark.llm import licences, queries
 from tidemark.llm.licences import scan_licences
 
 TEXTS = pathlib.Path(licences.__file__).parent / "licence_texts"
@@ -171,3 +172,19 @@ def test_long_text(spark):
     text = "the licence of a long text is told in the last line\n" * 40_000 + "Released under the MIT License."
     table = spark.createDataFrame([(1, "a/x.txt", text)], "doc_id int, path string, text string")
     assert scan_licences(table).first()["licence"] == "MIT"
+
+
+def test_query_inherits_within_its_tree(spark, tmp_path):
+    """Licence files of the query's tree reach the files below their directory, and no others."""
+    notice = "Released under the MIT License."
+    rows = [(k, f"text {k}\n{notice}" if k % 3 == 0 else f"text {k} without terms", "ed"[k % 2], "ab"[k // 7 % 2], 1) for k in range(0, 4000, 13)]
+    rows += [(None, "no id", None, None, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    place = {k: (source, k // 1000) for k, _, _, source, _ in rows[:-1]}
+    named = {k for k in place if zlib.crc32(str(k).encode()) % 16 == 0}
+    holders = {place[k] for k in named if k % 3 == 0}
+    found = {r["doc_id"]: (r["licence"], r["licensed_by"]) for r in queries.op9_licence_tfidf(spark, str(tmp_path)).collect()}
+    want = {k: ("MIT", "file") if k % 3 == 0 else ("MIT", "/".join(map(str, p))) if p in holders else (None, None) for k, p in place.items()}
+    assert found == want | {None: (None, None)}
+    assert {by for _, by in found.values()} - {"file", None} and (None, None) in [found[k] for k in place]

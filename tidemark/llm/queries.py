@@ -241,9 +241,18 @@ def op6_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licence_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files named source/language/id, as the table has no paths: none is named as a licence file."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), "doc_id")
-    return licences.scan_licences(_documents(spark, sf_dir).withColumn("path", path))
+    """Documents as files of a tree, as the table has no paths: source/thousand of ids/language/id.
+
+    One of sixteen, by crc32 of its id, is named as the licence file of the directory above its
+    language's; files without a licence of their own inherit what it says, if it says any.
+    """
+    docs = _documents(spark, sf_dir)
+    part = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("none")))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    is_licence = F.crc32(name.cast("binary")) % 16 == 0
+    own = F.concat_ws("/", part, F.coalesce("lang", F.lit("none")), name)
+    path = F.when(is_licence, F.concat(part, F.lit("/LICENSE-"), name)).otherwise(own)
+    return licences.scan_licences(docs.withColumn("path", path))
 
 
 RULES = (
